@@ -157,3 +157,115 @@ SELECT
   (SELECT count(*) FILTER (WHERE bad_category) FROM cleaned) AS invalid_categories,
   (SELECT count(*) FILTER (WHERE NOT coalesce({SALES_VALID}, false)) FROM deduped) AS invalid_sales,
   (SELECT count(*) FILTER (WHERE {SALES_VALID}) FROM deduped) AS rows_out"""
+
+
+# --- single rules ----------------------------------------------------------
+
+def _with(cte: str, select: str) -> str:
+    return f"WITH {cte}\n{select}"
+
+
+def conform_customer() -> str:
+    return _with(customer_conformed_cte(), "SELECT * FROM conformed")
+
+
+def conform_sales() -> str:
+    return _with(sales_conformed_cte(), "SELECT * FROM conformed")
+
+
+_SALES_TEXT_COLS = ("invoice_no", "customer_id", "category", "quantity", "price",
+                    "invoice_date", "shopping_mall")
+
+
+def trim_strings() -> str:
+    cols = ", ".join(f"trim({c}) AS {c}" for c in _SALES_TEXT_COLS)
+    return f"SELECT {cols} FROM ({bronze_sales_sql()}) b"
+
+
+def fill_missing_strings() -> str:
+    return (f"SELECT invoice_no, customer_id, {_fill('category')} AS category, quantity, price, "
+            f"invoice_date, {_fill('shopping_mall')} AS shopping_mall FROM ({bronze_sales_sql()}) b")
+
+
+def fill_missing_numerics() -> str:
+    return _with(sales_conformed_cte(), (
+        "SELECT invoice_no, customer_id, category, "
+        "coalesce(CAST(quantity AS DOUBLE), 0.0::DOUBLE) AS quantity, "
+        "CASE WHEN price IS NULL OR isnan(price) THEN 0.0::DOUBLE ELSE price END AS price, "
+        "invoice_date, shopping_mall FROM conformed"))
+
+
+def _trimmed_sales() -> str:
+    cols = ", ".join(f"trim({c}) AS {c}" for c in _SALES_TEXT_COLS)
+    return f"trimmed AS (SELECT {cols} FROM ({bronze_sales_sql()}) b)"
+
+
+def dedup_by_key() -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in _SALES_TEXT_COLS if c != "invoice_no")
+    return _with(_trimmed_sales(), (
+        "SELECT * FROM trimmed QUALIFY row_number() OVER "
+        f"(PARTITION BY invoice_no ORDER BY {order}) = 1"))
+
+
+def dedup_rows() -> str:
+    return _with(_trimmed_sales(), "SELECT DISTINCT * FROM trimmed")
+
+
+def customer_gender() -> str:
+    return _with(customer_conformed_cte(), (
+        f"SELECT customer_id, {_std('gender', _GENDER_LIST)} AS gender, age, payment_method "
+        "FROM conformed"))
+
+
+def customer_age() -> str:
+    return _with(customer_conformed_cte(), (
+        "SELECT customer_id, gender, CASE WHEN age IS NULL OR age < 0 OR age > 120 THEN 0 "
+        "ELSE age END AS age, payment_method FROM conformed"))
+
+
+def customer_names() -> str:
+    return f"SELECT c_custkey, {_strip('c_name')} AS c_name FROM customer"
+
+
+def customer_validate() -> str:
+    return _with(customer_conformed_cte(), f"SELECT * FROM conformed WHERE {CUSTOMER_VALID}")
+
+
+def sales_invoice_date() -> str:
+    return (f"SELECT invoice_no, customer_id, category, quantity, price, "
+            f"{_date_from_text('invoice_date')} AS invoice_date, shopping_mall "
+            f"FROM ({bronze_sales_sql()}) b")
+
+
+def sales_invoice_date_cast_first() -> str:
+    return _with(sales_conformed_cte(parse_first=False), "SELECT * FROM conformed")
+
+
+def sales_numeric_fields() -> str:
+    return _with(sales_conformed_cte(), (
+        "SELECT invoice_no, customer_id, category, "
+        "CASE WHEN quantity <= 0 THEN 1 ELSE quantity END AS quantity, "
+        "CASE WHEN price < 0 THEN 0.0::DOUBLE ELSE price END AS price, "
+        "invoice_date, shopping_mall FROM conformed"))
+
+
+def sales_category() -> str:
+    return (f"SELECT invoice_no, customer_id, {_std('category', _CATEGORY_LIST)} AS category, "
+            f"quantity, price, invoice_date, shopping_mall FROM ({bronze_sales_sql()}) b")
+
+
+def sales_mall_names() -> str:
+    return (f"SELECT invoice_no, customer_id, category, quantity, price, invoice_date, "
+            f"{_strip('shopping_mall')} AS shopping_mall FROM ({bronze_sales_sql()}) b")
+
+
+def sales_validate() -> str:
+    return _with(sales_conformed_cte(), f"SELECT * FROM conformed WHERE {SALES_VALID}")
+
+
+def agg_total_quantity() -> str:
+    return "SELECT sum(l_quantity) AS total_quantity FROM lineitem"
+
+
+def filter_product() -> str:
+    return "SELECT * FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus IN ('O', 'F')"

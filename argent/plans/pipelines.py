@@ -25,19 +25,28 @@ from argent.schemas import CustomerColumns, SalesColumns
 DATE_MODES = ("parse_first", "cast_first")
 
 
-def customer_clean(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
-    """Row-wise part of the customer flow (everything before the dedup)."""
+def customer_prepare(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+    """conform -> trim -> fill: the frame the customer rules start from."""
     c = columns or CustomerColumns()
     out = conform(df, c.schema())
     out = trim_strings(out, c.string_columns())
-    out = fill_missing(
+    return fill_missing(
         out,
         string_columns=[c.gender, c.payment_method],
         numeric_columns=c.numeric_columns(),
         default_numeric=0,
     )
-    out = clean_gender(out, c.gender)
-    return validate_age(out, c.age)
+
+
+def customer_rules(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+    c = columns or CustomerColumns()
+    return validate_age(clean_gender(df, c.gender), c.age)
+
+
+def customer_clean(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+    """Row-wise part of the customer flow (everything before the dedup)."""
+    c = columns or CustomerColumns()
+    return customer_rules(customer_prepare(df, c), c)
 
 
 def customer_pipeline(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
