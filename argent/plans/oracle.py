@@ -269,3 +269,112 @@ def agg_total_quantity() -> str:
 
 def filter_product() -> str:
     return "SELECT * FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus IN ('O', 'F')"
+
+
+# --- sources ---------------------------------------------------------------
+
+_CUSTOMER_TEXT_COLS = ("customer_id", "gender", "age", "payment_method", "extra_col")
+
+
+def _nullif_all(cols, src: str, rename=None) -> str:
+    names = rename or cols
+    body = ", ".join(f"nullif({c}, '') AS {n}" for c, n in zip(cols, names))
+    return f"SELECT {body} FROM ({src}) b"
+
+
+def csv_scan_strings() -> str:
+    # The CSV writer writes NULL and '' alike; both read back as NULL.
+    return _nullif_all(_SALES_TEXT_COLS, bronze_sales_sql())
+
+
+def csv_scan_delimited() -> str:
+    return _nullif_all(_CUSTOMER_TEXT_COLS, bronze_customers_sql())
+
+
+def csv_scan_no_header() -> str:
+    return _nullif_all(_SALES_TEXT_COLS, bronze_sales_sql(),
+                       [f"_c{i}" for i in range(len(_SALES_TEXT_COLS))])
+
+
+def csv_scan_inferred() -> str:
+    return ("SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, "
+            "p_size, p_retailprice FROM part")
+
+
+def csv_scan_schema() -> str:
+    return "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"
+
+
+QUOTED_NAME = "p_name"
+QUOTED_DESCRIPTION = "p_brand || ', \"' || p_type || '\"'"
+QUOTED_NOTES = "'size ' || CAST(p_size AS VARCHAR) || ', \"boxed\"'"
+
+
+def csv_scan_quoted() -> str:
+    return (f"SELECT {QUOTED_NAME} AS name, {QUOTED_DESCRIPTION} AS description, "
+            f"{QUOTED_NOTES} AS notes FROM part")
+
+
+def csv_scan_permissive() -> str:
+    line = ("CASE p_partkey % 10 WHEN 0 THEN CAST(p_partkey AS VARCHAR) || ',' || p_name "
+            "WHEN 1 THEN CAST(p_partkey AS VARCHAR) || ',' || p_name || ',' || CAST(p_size AS VARCHAR) || ',extra' "
+            "ELSE CAST(p_partkey AS VARCHAR) || ',' || p_name || ',' || CAST(p_size AS VARCHAR) END")
+    return ("SELECT p_partkey AS id, p_name AS name, "
+            "CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_size END AS size, "
+            f"CASE WHEN p_partkey % 10 IN (0, 1) THEN {line} END AS _corrupt_record FROM part")
+
+
+def parquet_scan() -> str:
+    return "SELECT * FROM orders"
+
+
+def parquet_scan_schema() -> str:
+    return ("SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_comment "
+            "FROM orders")
+
+
+def parquet_scan_merge_schema() -> str:
+    return ("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice, "
+            "CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders UNION ALL "
+            "SELECT o_orderkey, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), o_totalprice, "
+            "o_orderpriority FROM orders")
+
+
+def nested_scan() -> str:
+    return ("SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, "
+            "embedding[1] AS first_value, embedding[-1] AS last_value FROM embeddings")
+
+
+def timestamp_parse() -> str:
+    return ("SELECT event_id, ts_text, strptime(ts_text, '%Y-%m-%d %H:%M:%S') AS parsed FROM "
+            "(SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events) e")
+
+
+def validated_scan() -> str:
+    return "SELECT * FROM customer"
+
+
+# --- sinks -----------------------------------------------------------------
+
+def sink_path() -> str:
+    return sales_pipeline()
+
+
+def sink_append() -> str:
+    return (f"SELECT * FROM ({customer_pipeline()}) a\nUNION ALL\n"
+            f"SELECT * FROM ({customer_pipeline()}) b")
+
+
+def sink_ignore() -> str:
+    return customer_pipeline()
+
+
+def sink_table() -> str:
+    return customer_pipeline()
+
+
+def bronze_to_silver() -> str:
+    # Sales are staged as CSV, where '' reads back as NULL; neither survives
+    # the id filter, so the silver counts equal the pipelines' counts.
+    return (f"SELECT 'customers' AS silver_table, count(*) AS row_count FROM ({customer_pipeline()}) c "
+            f"UNION ALL SELECT 'sales', count(*) FROM ({sales_pipeline()}) s")

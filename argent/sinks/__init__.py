@@ -1,0 +1,5 @@
+"""Path and catalog-table sinks with empty, self-overwrite and schema guards."""
+
+from argent.sinks.writers import write_path, write_table
+
+__all__ = ["write_path", "write_table"]

@@ -1,0 +1,21 @@
+"""File scans and table-level source checks."""
+
+from argent.sources.scans import (
+    count_at_most,
+    read_csv,
+    read_csv_validated,
+    read_parquet,
+    read_parquet_validated,
+    require_columns,
+    require_rows,
+)
+
+__all__ = [
+    "count_at_most",
+    "read_csv",
+    "read_csv_validated",
+    "read_parquet",
+    "read_parquet_validated",
+    "require_columns",
+    "require_rows",
+]
