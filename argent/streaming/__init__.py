@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The flows this package rebuilds are batch only; nothing in them reads a
+stream, keeps state or handles late data. The row-wise stages are plain
+Column expressions and apply unchanged to a ``readStream`` frame.
+"""
