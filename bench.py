@@ -11,14 +11,17 @@ ran is recorded (the source flow ran 11 / 13 actions per entity).
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark import SparkConf, SparkContext  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
 from argent.plans.bronze import bronze_customers, bronze_sales  # noqa: E402
@@ -38,6 +41,49 @@ def noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def event_log_dir() -> str | None:
+    """A fresh event-log folder under the configured shared folder (local
+    paths only; returns None when it cannot be created)."""
+    SparkContext._ensure_initialized()  # noqa: SLF001 - loads spark-defaults
+    shared = SparkConf().get("spark.checkpoint.dir", None)
+    if not shared:
+        return None
+    path = f"{shared.rstrip('/')}/argent/bench-eventlog-{uuid.uuid4().hex}"
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in local:
+        return None
+    os.makedirs(local, exist_ok=True)
+    return local
+
+
+def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
+    """Sum of shuffle bytes written per job group, from the event log."""
+    files = sorted(f for f in glob.glob(f"{log_dir}/**", recursive=True) if os.path.isfile(f))
+    stage_group: dict[int, str] = {}
+    written: dict[int, int] = {}
+    for f in files:
+        with open(f, encoding="utf-8") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    if (ev.get("Task End Reason") or {}).get("Reason") != "Success":
+                        continue
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    sid = ev.get("Stage ID")
+                    written[sid] = written.get(sid, 0) + int(m.get("Shuffle Bytes Written", 0))
+    out: dict[str, int] = {}
+    for sid, b in written.items():
+        g = stage_group.get(sid)
+        if g:
+            out[g] = out.get(g, 0) + b
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -45,8 +91,17 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
+    log_dir = event_log_dir()
+    builder = SparkSession.builder
+    if log_dir:
+        builder = (
+            builder.config("spark.eventLog.enabled", "true")
+            .config("spark.eventLog.dir", log_dir)
+            .config("spark.eventLog.compress", "false")
+            .config("spark.eventLog.rolling.enabled", "false")
+        )
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("argent-bench")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
@@ -100,6 +155,12 @@ def main() -> None:
             best = dt if best is None else min(best, dt)
         timings[name] = round(best, 3)
     sc.setJobGroup("bench-idle", "idle")
+    spark.stop()
+
+    shuffle: dict[str, int] = {}
+    if log_dir:
+        by_group = shuffle_bytes_by_group(log_dir)
+        shuffle = {name: by_group.get(f"bench-{name}-0", 0) for name in cases}
 
     print(
         json.dumps(
@@ -109,12 +170,12 @@ def main() -> None:
                 "unit": "sec",
                 "queries": timings,
                 "spark_jobs": jobs,
+                "shuffle_bytes_written": shuffle,
                 "sf": sf,
                 "cpus": cpus,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":
