@@ -28,8 +28,14 @@ _INT_BOUNDS = {
 }
 
 
-def is_missing_string(c: Column) -> Column:
-    """NULL or the empty string: both mean "missing" for text columns."""
+def is_missing_string(c: Column, dtype: T.DataType | None = None) -> Column:
+    """NULL or the empty string: both mean "missing" for text columns.
+
+    On a non-text column only NULL counts (comparing it with '' would need a
+    cast that raises under ANSI).
+    """
+    if dtype is not None and not isinstance(dtype, T.StringType):
+        return c.isNull()
     return c.isNull() | (c == F.lit(""))
 
 
@@ -44,8 +50,13 @@ def is_missing_number(c: Column, dtype: T.DataType) -> Column:
     return c.isNull()
 
 
-def fill_string(c: Column, default: str = DEFAULT_MISSING_STRING) -> Column:
-    return F.when(is_missing_string(c), F.lit(default)).otherwise(c)
+def fill_string(
+    c: Column, default: str = DEFAULT_MISSING_STRING, dtype: T.DataType | None = None
+) -> Column:
+    # A non-text column becomes text (legacy coercion); ANSI coercion would
+    # instead try to turn the default into a number and fail.
+    other = c if dtype is None or isinstance(dtype, T.StringType) else c.cast(T.StringType())
+    return F.when(is_missing_string(c, dtype), F.lit(default)).otherwise(other)
 
 
 def fill_number(

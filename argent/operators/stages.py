@@ -126,7 +126,7 @@ def fill_missing(
     types = {f.name: f.dataType for f in df.schema.fields}
     updates: dict[str, Column] = {}
     for n in _present(df, string_columns or [], "String"):
-        updates[n] = fill_string(col(n), default_string)
+        updates[n] = fill_string(col(n), default_string, types[n])
     for n in _present(df, numeric_columns or [], "Numeric"):
         updates[n] = fill_number(col(n), types[n], default_numeric, keep_type)
     return df.withColumns(updates) if updates else df

@@ -97,3 +97,29 @@ def test_standardise(spark):
 def test_strip_special(spark, raw, expected):
     df = _one(spark, [raw])
     assert df.select(strip_special(F.col("x")).alias("y")).first().y == expected
+
+
+def test_fill_missing_strings_and_numbers(spark, ansi):
+    from argent.operators.stages import fill_missing
+
+    df = spark.createDataFrame(
+        [(None, "", 1, None, float("nan")), ("x", None, None, 2.5, 1.0)],
+        "a string, b string, n int, d double, e double",
+    )
+    out = fill_missing(df, string_columns=["a", "b", "absent"], numeric_columns=["n", "d", "e"])
+    # An int column filled with 0.0 widens to double, as in the sales flow.
+    assert dict(out.dtypes)["n"] == "double"
+    assert [tuple(r) for r in out.collect()] == [
+        ("Unknown", "Unknown", 1.0, 0.0, 0.0),
+        ("x", "Unknown", 0.0, 2.5, 1.0),
+    ]
+    kept = fill_missing(df, numeric_columns=["n"], keep_type=True)
+    assert dict(kept.dtypes)["n"] == "int"
+
+
+def test_fill_string_default_on_non_text_column(spark, ansi):
+    from argent.operators.stages import fill_missing
+
+    df = spark.createDataFrame([(None,), (3,)], "n int")
+    out = fill_missing(df, string_columns=["n"])
+    assert [r.n for r in out.collect()] == ["Unknown", "3"]
