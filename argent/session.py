@@ -1,8 +1,9 @@
 """Where the library may write intermediate data.
 
 On a cluster the shared folder is the one named by ``spark.checkpoint.dir``;
-it is read from the session and only set here when it is unset (local runs
-and tests), never replaced.
+it is read from the session. Only when the session names none (local runs
+and tests) is a folder created here and registered with
+``SparkContext.setCheckpointDir``; a configured folder is never replaced.
 """
 
 from __future__ import annotations
@@ -13,24 +14,36 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_fallback: dict[int, str] = {}
+
+
+def _configured(spark: SparkSession) -> str | None:
+    try:
+        d = spark.conf.get(_CONF, None)
+    except Exception:
+        d = None
+    if d:
+        return d
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext access (e.g. remote sessions)
+        return None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder (set to a fresh temp folder
-    only when the session names none)."""
-    d = spark.conf.get(_CONF, None)
-    if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:
-            d = None
+    """The session's shared checkpoint folder; a fresh temp folder, set as
+    the checkpoint dir, only when the session names none."""
+    d = _configured(spark)
     if not d:
-        d = tempfile.mkdtemp(prefix="argent-ckpt-")
-        spark.conf.set(_CONF, d)
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:
-            pass
+        key = id(spark)
+        d = _fallback.get(key)
+        if d is None:
+            d = tempfile.mkdtemp(prefix="argent-ckpt-")
+            _fallback[key] = d
+            try:
+                spark.sparkContext.setCheckpointDir(d)
+            except Exception:
+                pass
     return d.rstrip("/")
 
 

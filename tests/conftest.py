@@ -25,9 +25,7 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     # Tests name their own shared folder only when the session names none.
     if not session.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="argent-tests-ckpt-")
-        session.conf.set("spark.checkpoint.dir", d)
-        session.sparkContext.setCheckpointDir(d)
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="argent-tests-ckpt-"))
     yield session
 
 
