@@ -9,7 +9,10 @@ decides the post-dedup counters) is the ``min`` of a struct of the other
 columns, the same order the dedup uses (ascending, NULLS FIRST).
 
 ``observed_*_pipeline`` return the pipeline plus ``Observation`` objects, so
-the counters are filled as a by-product of the single write action.
+the counters are filled as a by-product of the single write action. Like
+any metric gathered inside a running job, an observation can count a row
+twice if Spark re-runs a finished stage after losing its output; the
+aggregate reports above are exact under any retry.
 """
 
 from __future__ import annotations

@@ -55,3 +55,17 @@ def test_pipelines_agree_with_ansi_on_and_off(spark):
         lambda: sales_pipeline(bronze_sales(spark, SF_SMALL), date_mode="cast_first"),
     ):
         assert _collect_under(spark, "true", build) == _collect_under(spark, "false", build)
+
+
+def test_command_line(spark, capsys):
+    import json
+
+    from argent.__main__ import main
+
+    customer_src = stage_parquet(bronze_customers(spark, SF_SMALL), "t-cli-customers")
+    sales_src = stage_csv(bronze_sales(spark, SF_SMALL), "t-cli-sales")
+    out = scratch_path(spark, "t-cli-silver")
+    main(["--customers", customer_src, "--sales", sales_src, "--output", out, "--report"])
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed["customer_quality"]["rows_out"] == 129
+    assert spark.read.parquet(printed["sales"]).count() == printed["sales_quality"]["rows_out"]

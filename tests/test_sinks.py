@@ -91,3 +91,9 @@ def test_table_sink(spark, workdir):
 
 def test_noop_sink_needs_no_path(spark):
     write_path(_people(spark), None, fmt="noop")
+
+
+def test_batch_ignores_streaming_only_options(spark, workdir):
+    # The source project's test passed a checkpointLocation to a batch write.
+    write_path(_people(spark), f"{workdir}/out", options={"checkpointLocation": f"{workdir}/cp"})
+    assert spark.read.parquet(f"{workdir}/out").count() == 3
