@@ -105,7 +105,7 @@ def _report(
     kept_columns: list[str],
     valid_of,
     invalid_name: str,
-) -> DataFrame:
+) -> tuple[DataFrame, dict[str, Column]]:
     """Per-key partial aggregate, then one global row.
 
     ``valid_of(get)`` builds the row filter from a column getter that reads
@@ -159,7 +159,12 @@ def sales_quality(
     c = columns or SalesColumns()
     flagged = _sales_flagged(df, c, date_mode)
     keys = c.key_columns()
-    kept = [f.name for f in c.schema().fields if f.name not in keys]
+    order = [f.name for f in c.schema().fields if f.name not in keys]
+    # The filter reads customer_id, quantity and price of the kept row. Columns
+    # after the last of them in the dedup order only break ties among rows that
+    # agree on all of them, so the kept values are fixed by this prefix.
+    needed = {c.customer_id, c.quantity, c.price}
+    kept = order[: max(order.index(n) for n in needed) + 1]
     per_key, aggs = _report(
         flagged,
         keys,
