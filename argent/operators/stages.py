@@ -154,6 +154,31 @@ def keep_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     ]
 
 
+def _group_limit_enabled(df: DataFrame) -> bool:
+    try:
+        conf = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+        return int(conf) >= 1
+    except Exception:
+        return True
+
+
+def _dedup_by_aggregate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Same result as the window form with the default order: the kept row is
+    the ``min`` of a struct of the other columns (struct order is field by
+    field, ascending, NULLS FIRST). Partial aggregation runs before the
+    shuffle whatever the optimizer settings."""
+    keyset = set(keys)
+    rest = [f.name for f in df.schema.fields if f.name not in keyset]
+    kept = "__argent_kept"
+    agg = df.groupBy(*[col(k) for k in keys]).agg(
+        F.min(F.struct(*[col(n) for n in rest])).alias(kept)
+    )
+    return agg.select(
+        *[col(f.name) if f.name in keyset else F.col(kept).getField(f.name).alias(f.name)
+          for f in df.schema.fields]
+    )
+
+
 def dedup(
     df: DataFrame,
     keys: Sequence[str] | None = None,
@@ -165,7 +190,9 @@ def dedup(
     so results are deterministic. NULL keys form one group. ``row_number() = 1``
     plans as WindowGroupLimit Partial -> Exchange -> Final: each map task
     forwards at most one row per key, so a key holding a third of the table
-    still ships only one row per map partition through the shuffle.
+    still ships only one row per map partition through the shuffle. If that
+    optimizer rule is switched off, the default order is computed as an
+    aggregate instead, which combines on the map side as well.
     """
     if not keys:
         return df.dropDuplicates()
@@ -176,6 +203,9 @@ def dedup(
     if not order:
         # Only key columns: a plain distinct on them (hash aggregate).
         return df.dropDuplicates(list(keys))
+    all_orderable = all(_orderable(f.dataType) for f in df.schema.fields)
+    if order_by is None and all_orderable and not _group_limit_enabled(df):
+        return _dedup_by_aggregate(df, keys)
     w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order)
     return (
         df.withColumn(_ROW_NUMBER, F.row_number().over(w))

@@ -58,3 +58,23 @@ def test_filters_reach_the_scan(spark):
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string,l_linestatus:string>" in plan
+
+
+def test_dedup_without_group_limit_rule_uses_aggregate(spark):
+    from argent.operators.stages import dedup
+    from argent.plans.bronze import bronze_sales
+    from argent.operators.stages import trim_strings
+
+    bronze = trim_strings(bronze_sales(spark, "/root/testdata/sf0.001"))
+    window_form = dedup(bronze, ["invoice_no"])
+    expected = sorted(map(tuple, window_form.collect()), key=repr)
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
+    try:
+        agg_form = dedup(bronze, ["invoice_no"])
+        plan = _plan(agg_form)
+        assert "Window" not in plan and "partial_min" in plan
+        assert agg_form.columns == window_form.columns
+        assert sorted(map(tuple, agg_form.collect()), key=repr) == expected
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
