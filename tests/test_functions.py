@@ -123,3 +123,30 @@ def test_fill_string_default_on_non_text_column(spark, ansi):
     df = spark.createDataFrame([(None,), (3,)], "n int")
     out = fill_missing(df, string_columns=["n"])
     assert [r.n for r in out.collect()] == ["Unknown", "3"]
+
+
+def test_lenient_cast_equals_legacy_cast_on_bronze_data(spark):
+    """On the bronze views, lenient casts give exactly what a plain cast gives
+    with ANSI off (the source flow's Spark setting)."""
+    from argent.plans.bronze import bronze_customers, bronze_sales
+
+    from conftest import SF_SMALL
+
+    cases = [
+        (bronze_customers(spark, SF_SMALL), "age", T.IntegerType()),
+        (bronze_sales(spark, SF_SMALL), "quantity", T.IntegerType()),
+        (bronze_sales(spark, SF_SMALL), "price", T.DoubleType()),
+    ]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for df, name, dtype in cases:
+            out = df.select(
+                F.col(name).cast(dtype).alias("legacy"),
+                lenient_cast(F.col(name), T.StringType(), dtype).alias("lenient"),
+            )
+            differ = out.filter(~F.col("legacy").eqNullSafe(F.col("lenient"))
+                                & ~(F.isnan("legacy") & F.isnan("lenient")))
+            assert differ.count() == 0, differ.limit(5).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
