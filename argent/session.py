@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from argent.errors import ETLError
+
 _CONF = "spark.checkpoint.dir"
 _fallback: dict[int, str] = {}
 
@@ -30,11 +32,24 @@ def _configured(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:
+        return False
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; a fresh temp folder, set as
-    the checkpoint dir, only when the session names none."""
+    the checkpoint dir, only when the session names none and runs in local
+    mode (on a cluster, executors could not see a driver-local folder)."""
     d = _configured(spark)
     if not d:
+        if not _is_local(spark):
+            raise ETLError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage "
+                "(HDFS, object store) for intermediate and staged data"
+            )
         key = id(spark)
         d = _fallback.get(key)
         if d is None:

@@ -12,8 +12,9 @@ class _Conf:
 
 
 class _Ctx:
-    def __init__(self):
+    def __init__(self, master="local[2]"):
         self.dir = None
+        self.master = master
 
     def getCheckpointDir(self):
         return self.dir
@@ -23,9 +24,9 @@ class _Ctx:
 
 
 class _Session:
-    def __init__(self, value):
+    def __init__(self, value, master="local[2]"):
         self.conf = _Conf(value)
-        self.sparkContext = _Ctx()
+        self.sparkContext = _Ctx(master)
 
 
 def test_configured_folder_is_used():
@@ -43,3 +44,13 @@ def test_unset_folder_falls_back_once_and_registers_it():
 
 def test_real_session_has_a_folder(spark):
     assert shared_dir(spark)
+
+
+def test_unset_folder_on_a_cluster_is_an_error():
+    import pytest
+
+    from argent.errors import ETLError
+
+    with pytest.raises(ETLError, match="spark.checkpoint.dir"):
+        shared_dir(_Session(None, master="yarn"))
+    assert shared_dir(_Session("hdfs:///shared", master="yarn")) == "hdfs:///shared"
