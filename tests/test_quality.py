@@ -61,3 +61,15 @@ def test_observed_pipeline_output_unchanged(spark):
 def test_empty_input_reports_zeros(spark):
     empty = bronze_customers(spark, SF_SMALL).limit(0)
     assert customer_quality(empty).first().asDict() == {k: 0 for k in CUSTOMER_COUNTERS}
+
+
+def test_quality_checkpoints_sf01(spark):
+    """The documented sf0.1 checkpoints (15,000 customers, 600,000 sales)."""
+    d = "/root/testdata/sf0.1"
+    cust = customer_quality(bronze_customers(spark, d)).first().asDict()
+    assert cust == dict(rows_in=15000, invalid_genders=6428, invalid_ages=4091,
+                        duplicates_removed=2098, invalid_customers=2, rows_out=12900)
+    sales = sales_quality(bronze_sales(spark, d)).first().asDict()
+    assert sales == dict(rows_in=600000, duplicates_removed=150219, null_invoice_dates=94730,
+                         invalid_quantities=184866, invalid_prices=35442,
+                         invalid_categories=199877, invalid_sales=14537, rows_out=435244)
