@@ -64,7 +64,7 @@ def test_quality_report_hot_keys_combine_before_shuffle(spark):
         F.lit("Mall").alias("shopping_mall"),
     )
     rep = sales_quality(df)
-    r = rep.first()
+    r = rep.collect()[0]
     assert r.rows_in == ROWS and r.rows_out == ROWS // 3 + 1  # "hot" is valid, NULL is not
     assert r.duplicates_removed == ROWS - (ROWS // 3 + 2)
     # Per-key shuffle plus the one-row gather: hot keys are combined map-side.
