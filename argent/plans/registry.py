@@ -149,7 +149,8 @@ def q_timestamp_parse(s: SparkSession, d: str) -> DataFrame:
     ev = read_parquet(s, f"{d}/events.parquet").select(
         "event_id", F.date_format("ts", TS_FORMAT).alias("ts_text")
     )
-    return ev.withColumn("parsed", F.to_timestamp("ts_text", TS_FORMAT))
+    # Wall-clock parse (no session time zone involved), like the input column.
+    return ev.withColumn("parsed", F.to_timestamp_ntz("ts_text", F.lit(TS_FORMAT)))
 
 
 def q_validated_scan(s: SparkSession, d: str) -> DataFrame:
