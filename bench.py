@@ -111,20 +111,29 @@ def event_log_dir() -> str | None:
     return local
 
 
-def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
-    """Sum of shuffle bytes written per job group, from the event log."""
+def event_metrics(log_dir: str) -> tuple[dict[str, int], dict[str, int]]:
+    """Per job group: shuffle bytes written, and the number of actions (SQL
+    executions; adaptive execution runs each query stage as its own job, so
+    jobs over-count actions)."""
     files = sorted(f for f in glob.glob(f"{log_dir}/**", recursive=True) if os.path.isfile(f))
     stage_group: dict[int, str] = {}
     written: dict[int, int] = {}
+    executions: dict[str, set[str]] = {}
     for f in files:
         with open(f, encoding="utf-8") as fh:
             for line in fh:
                 ev = json.loads(line)
                 kind = ev.get("Event")
                 if kind == "SparkListenerJobStart":
-                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    props = ev.get("Properties") or {}
+                    group = props.get("spark.jobGroup.id")
                     for sid in ev.get("Stage IDs", []):
                         stage_group[sid] = group
+                    # Nested executions (e.g. a cache built inside an action)
+                    # report their root execution.
+                    ex = props.get("spark.sql.execution.root.id") or props.get("spark.sql.execution.id")
+                    if group and ex is not None:
+                        executions.setdefault(group, set()).add(ex)
                 elif kind == "SparkListenerTaskEnd":
                     if (ev.get("Task End Reason") or {}).get("Reason") != "Success":
                         continue
@@ -136,7 +145,7 @@ def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
         g = stage_group.get(sid)
         if g:
             out[g] = out.get(g, 0) + b
-    return out
+    return out, {g: len(ids) for g, ids in executions.items()}
 
 
 def main() -> None:
@@ -185,6 +194,10 @@ def main() -> None:
         "sales_pipeline_observed": sales_observed,
         "customer_quality": lambda: customer_quality(bronze_customers(spark, sf_dir)).collect(),
         "sales_quality": lambda: sales_quality(bronze_sales(spark, sf_dir)).collect(),
+        "customers_to_parquet": lambda: write_path(
+            customer_pipeline(bronze_customers(spark, sf_dir)),
+            scratch_path(spark, "bench-silver-customers"),
+        ),
         "sales_to_parquet": lambda: write_path(
             sales_pipeline(bronze_sales(spark, sf_dir)), scratch_path(spark, "bench-silver-sales")
         ),
@@ -225,9 +238,11 @@ def main() -> None:
     spark.stop()
 
     shuffle: dict[str, int] = {}
+    actions: dict[str, int] = {}
     if log_dir:
-        by_group = shuffle_bytes_by_group(log_dir)
+        by_group, actions_by_group = event_metrics(log_dir)
         shuffle = {name: by_group.get(f"bench-{name}-0", 0) for name in timings}
+        actions = {name: actions_by_group.get(f"bench-{name}-0", 0) for name in timings}
     headline = {k: v for k, v in timings.items() if k in cases}
     comparison = {k: v for k, v in timings.items() if k in comparators}
 
@@ -239,6 +254,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": headline,
                 "comparison": comparison,
+                "spark_actions": actions,
                 "spark_jobs": jobs,
                 "shuffle_bytes_written": shuffle,
                 "sf": sf,
