@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from argent.errors import LoadingError
 
-_NEEDS_PATH = {"noop", "console", "memory"}
+_PATHLESS_FORMATS = {"noop", "console", "memory"}
 
 
 def _norm(p: str) -> str:
@@ -107,7 +107,7 @@ def write_path(
     behind the guards above. ``fmt="noop"`` runs the plan without output."""
     target = destination or ""
     try:
-        if fmt not in _NEEDS_PATH and not destination:
+        if fmt not in _PATHLESS_FORMATS and not destination:
             raise LoadingError("A destination path is required")
         if destination and mode.lower() == "overwrite":
             _check_not_reading(df, destination)
