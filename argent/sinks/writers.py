@@ -77,6 +77,17 @@ def _check_append_schema(df: DataFrame, fmt: str, destination: str) -> None:
         )
 
 
+def _path_exists(df: DataFrame, destination: str) -> bool | None:
+    """Whether ``destination`` exists (None when it cannot be told cheaply)."""
+    try:
+        spark = df.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(destination)  # noqa: SLF001
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        return bool(fs.exists(jpath))
+    except Exception:
+        return None
+
+
 class _Persisted:
     """Persist for the duration of a block when the plan shuffles."""
 
@@ -109,10 +120,16 @@ def write_path(
     try:
         if fmt not in _PATHLESS_FORMATS and not destination:
             raise LoadingError("A destination path is required")
-        if destination and mode.lower() == "overwrite":
+        m = mode.lower()
+        if destination and m == "overwrite":
             _check_not_reading(df, destination)
-        if destination and mode.lower() == "append" and fmt == "parquet":
+        if destination and m == "append" and fmt == "parquet":
             _check_append_schema(df, fmt, destination)
+        if destination and m in ("ignore", "error", "errorifexists", "default"):
+            if _path_exists(df, destination):
+                if m == "ignore":
+                    return  # Spark would skip the write: do not compute the frame
+                raise LoadingError(f"Failed to load data to {destination}: it already exists")
         with _Persisted(df, guard_empty) as out:
             if guard_empty and out.isEmpty():
                 raise LoadingError(f"Cannot load empty DataFrame to {target}")

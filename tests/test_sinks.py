@@ -97,3 +97,14 @@ def test_batch_ignores_streaming_only_options(spark, workdir):
     # The source project's test passed a checkpointLocation to a batch write.
     write_path(_people(spark), f"{workdir}/out", options={"checkpointLocation": f"{workdir}/cp"})
     assert spark.read.parquet(f"{workdir}/out").count() == 3
+
+
+def test_ignore_on_existing_path_does_not_compute(spark, workdir):
+    p = f"{workdir}/out"
+    write_path(_people(spark), p)
+    sc = spark.sparkContext
+    sc.setJobGroup("t-ignore", "ignore")
+    write_path(_people(spark).groupBy("city").count(), p, mode="ignore")
+    assert sc.statusTracker().getJobIdsForGroup("t-ignore") == []
+    sc.setJobGroup("t-idle", "idle")
+    assert spark.read.parquet(p).columns == ["name", "age", "city"]
