@@ -108,9 +108,12 @@ def parse_date(c: Column, fmt: str = INVOICE_DATE_FORMAT, iso_fallback: bool = T
 def _string_to_integral(c: Column, target: T.DataType) -> Column:
     # Legacy (non-ANSI) casts drop a fractional part: '2.7' -> 2, ' 41.7 ' -> 41,
     # and a bare fraction such as '.5' is 0. try_cast alone would give NULL.
+    # Text without a '.' needs neither regex (the common case, kept cheap).
     whole = F.regexp_replace(c, r"\.\d*\s*$", "")
-    return F.when(c.rlike(r"^\s*[+-]?\.\d*\s*$"), F.lit(0).cast(target)).otherwise(
-        whole.try_cast(target)
+    return (
+        F.when(~c.contains("."), c.try_cast(target))
+        .when(c.rlike(r"^\s*[+-]?\.\d*\s*$"), F.lit(0).cast(target))
+        .otherwise(whole.try_cast(target))
     )
 
 
