@@ -21,7 +21,6 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark import SparkConf, SparkContext  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
 from argent.plans.bronze import bronze_customers, bronze_sales  # noqa: E402
@@ -96,11 +95,9 @@ def sales_action_per_step(spark, src: str, dest: str) -> None:
     x.write.mode("overwrite").parquet(dest)
 
 
-def event_log_dir() -> str | None:
-    """A fresh event-log folder under the configured shared folder (local
-    paths only; returns None when it cannot be created)."""
-    SparkContext._ensure_initialized()  # noqa: SLF001 - loads spark-defaults
-    shared = SparkConf().get("spark.checkpoint.dir", None)
+def event_log_dir(shared: str | None) -> str | None:
+    """A fresh event-log folder under the shared folder (local paths only;
+    None when it cannot be created)."""
     if not shared:
         return None
     path = f"{shared.rstrip('/')}/argent/bench-eventlog-{uuid.uuid4().hex}"
@@ -155,25 +152,39 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
-    log_dir = event_log_dir()
-    builder = SparkSession.builder
-    if log_dir:
-        builder = (
-            builder.config("spark.eventLog.enabled", "true")
-            .config("spark.eventLog.dir", log_dir)
-            .config("spark.eventLog.compress", "false")
-            .config("spark.eventLog.rolling.enabled", "false")
-        )
-    spark = (
-        builder.master(f"local[{cpus}]")
-        .appName("argent-bench")
-        .config("spark.sql.shuffle.partitions", str(cpus))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+    settings = {
+        "spark.master": f"local[{cpus}]",
+        "spark.app.name": "argent-bench",
+        "spark.sql.shuffle.partitions": str(cpus),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+    def start(extra: dict[str, str]) -> SparkSession:
+        builder = SparkSession.builder
+        for k, v in {**settings, **extra}.items():
+            builder = builder.config(k, v)
+        return builder.getOrCreate()
+
+    # The first start launches the JVM with the settings above (driver memory
+    # only applies at launch); it also tells the shared folder. The event log
+    # is a context setting, so the context is restarted on the same JVM.
+    probe = start({})
+    shared = probe.conf.get("spark.checkpoint.dir", None)
+    probe.stop()
+    log_dir = event_log_dir(shared)
+    spark = start(
+        {
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+            "spark.eventLog.compress": "false",
+            "spark.eventLog.rolling.enabled": "false",
+        }
+        if log_dir
+        else {}
     )
     spark.sparkContext.setLogLevel("ERROR")
     sc = spark.sparkContext
