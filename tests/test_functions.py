@@ -150,3 +150,32 @@ def test_lenient_cast_equals_legacy_cast_on_bronze_data(spark):
             assert differ.count() == 0, differ.limit(5).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_date_shape_check_never_changes_a_parse(spark, ansi):
+    """The shape check only skips strings the parser would reject."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    fixed = ["05-08-2022", "31-12-99999", "01-01-+20222", "01-01--2022", " 05-08-2022",
+             "05-08-2022 ", "5-08-2022", "05-8-2022", "05-08-22", "05/08/2022", "٠٥-٠٨-٢٠٢٢",
+             "00-01-2022", "29-02-2024", "29-02-2023", "", None]
+    alphabet = st.sampled_from(list("0123456789-+ /٠"))
+    texts = st.lists(st.text(alphabet, min_size=0, max_size=13), min_size=50, max_size=200)
+
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        out = df.select(
+            F.try_to_date("x", "dd-MM-yyyy").alias("plain"),
+            parse_date(F.col("x"), iso_fallback=False).alias("checked"),
+        )
+        assert out.filter(~F.col("plain").eqNullSafe(F.col("checked"))).count() == 0
+
+    check(fixed)
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(texts)
+    def generated(values):
+        check(values + ["0" + v[:1] + "-0" + v[1:2] + "-20" + v[2:4] for v in values if len(v) >= 4])
+
+    generated()
