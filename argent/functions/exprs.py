@@ -27,6 +27,11 @@ SPECIAL_CHARACTERS = "[^a-zA-Z0-9\\s]"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType)
 
+# Whitespace a legacy cast trims (every character up to the space).
+_WS = r"[\x00-\x20]"
+_FRACTION = rf"^({_WS}*[+-]?\d+)\.\d*({_WS}*)$"
+_BARE_FRACTION = rf"^{_WS}*[+-]?\.\d*{_WS}*$"
+
 _INT_BOUNDS = {
     T.IntegerType: (-(2**31), 2**31 - 1),
     T.LongType: (-(2**63), 2**63 - 1),
@@ -113,13 +118,14 @@ def parse_date(c: Column, fmt: str = INVOICE_DATE_FORMAT, iso_fallback: bool = T
 
 
 def _string_to_integral(c: Column, target: T.DataType) -> Column:
-    # Legacy (non-ANSI) casts drop a fractional part: '2.7' -> 2, ' 41.7 ' -> 41,
-    # and a bare fraction such as '.5' is 0. try_cast alone would give NULL.
-    # Text without a '.' needs neither regex (the common case, kept cheap).
-    whole = F.regexp_replace(c, r"\.\d*\s*$", "")
+    # Legacy (non-ANSI) casts drop a fractional part that directly follows
+    # the digits: '2.7' -> 2, ' 41.7 ' -> 41, '2.' -> 2, and a bare fraction
+    # such as '.5' is 0; '7 .5' stays invalid. try_cast alone gives NULL for
+    # all of them. Text without a '.' needs neither regex (the common case).
+    whole = F.regexp_replace(c, _FRACTION, "$1$2")
     return (
         F.when(~c.contains("."), c.try_cast(target))
-        .when(c.rlike(r"^\s*[+-]?\.\d*\s*$"), F.lit(0).cast(target))
+        .when(c.rlike(_BARE_FRACTION), F.lit(0).cast(target))
         .otherwise(whole.try_cast(target))
     )
 

@@ -23,9 +23,11 @@ _GENDER_LIST = "'MALE', 'FEMALE'"
 
 
 def _int_from_text(x: str) -> str:
+    # A fraction right after the digits is dropped; a bare fraction is 0.
+    ws = r"[\x00-\x20]"
     return (
-        rf"CASE WHEN regexp_full_match({x}, '\s*[+-]?\.\d*\s*') THEN 0 "
-        rf"ELSE TRY_CAST(regexp_replace({x}, '\.\d*\s*$', '') AS INTEGER) END"
+        rf"CASE WHEN regexp_full_match({x}, '{ws}*[+-]?\.\d*{ws}*') THEN 0 "
+        rf"ELSE TRY_CAST(regexp_replace({x}, '^({ws}*[+-]?\d+)\.\d*({ws}*)$', '\1\2') AS INTEGER) END"
     )
 
 

@@ -179,3 +179,25 @@ def test_date_shape_check_never_changes_a_parse(spark, ansi):
         check(values + ["0" + v[:1] + "-0" + v[1:2] + "-20" + v[2:4] for v in values if len(v) >= 4])
 
     generated()
+
+
+def test_string_to_int_parity_on_random_text(spark):
+    """Random text over digits, signs, dots, letters and whitespace (control
+    characters and NBSP included): lenient casts equal legacy casts."""
+    import random
+
+    rnd = random.Random(20261203)
+    alphabet = list("0123456789") * 3 + list(".-+ \te\n\x01\x0b\x1f\xa0")
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 8))) for _ in range(5000)]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        for dtype in (T.IntegerType(), T.LongType(), T.ShortType()):
+            out = df.select(
+                F.col("x").cast(dtype).alias("legacy"),
+                lenient_cast(F.col("x"), T.StringType(), dtype).alias("lenient"),
+            )
+            assert out.filter(~F.col("legacy").eqNullSafe(F.col("lenient"))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
