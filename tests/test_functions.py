@@ -201,3 +201,24 @@ def test_string_to_int_parity_on_random_text(spark):
             assert out.filter(~F.col("legacy").eqNullSafe(F.col("lenient"))).count() == 0
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_string_to_double_parity_on_random_text(spark):
+    import random
+
+    rnd = random.Random(5)
+    alphabet = list("0123456789") * 3 + list(".-+ \teEdDfFnNaI\x01")
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 9))) for _ in range(3000)]
+    values += ["NaN", "Infinity", "-Infinity", "1d", "1f", "1e400", " 1.5 ", "+.5"]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([(v,) for v in values], "x string")
+        out = df.select(
+            F.col("x").cast("double").alias("legacy"),
+            lenient_cast(F.col("x"), T.StringType(), T.DoubleType()).alias("lenient"),
+        )
+        same = F.col("legacy").eqNullSafe(F.col("lenient")) | (F.isnan("legacy") & F.isnan("lenient"))
+        assert out.filter(~same).count() == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
