@@ -130,11 +130,24 @@ def _string_to_integral(c: Column, target: T.DataType) -> Column:
     )
 
 
+_WIDTH = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _wrap(c: Column, target: T.DataType) -> Column:
+    """Keep the low bits of an integral value, as a legacy narrowing cast
+    does (bit masks, so nothing can overflow under ANSI)."""
+    bits = _WIDTH[type(target)]
+    low = c.cast(T.LongType()).bitwiseAND(F.lit((1 << bits) - 1))
+    signed = F.when(low >= F.lit(1 << (bits - 1)), low - F.lit(1 << bits)).otherwise(low)
+    return signed.cast(target)
+
+
 def _fractional_to_integral(c: Column, target: T.DataType) -> Column:
-    # Legacy casts send NaN to 0 and saturate at the type bounds.
+    # Legacy casts send NaN to 0 and saturate at the int/long bounds; narrower
+    # types take the low bits of the saturated int.
     bounds = _INT_BOUNDS.get(type(target))
     if bounds is None:
-        return c.try_cast(target)
+        return _wrap(_fractional_to_integral(c, T.IntegerType()), target)
     lo, hi = bounds
     return (
         F.when(F.isnan(c), F.lit(0).cast(target))
@@ -166,4 +179,10 @@ def lenient_cast(
         return c.try_cast(target)
     if isinstance(source, _FRACTIONAL) and isinstance(target, _INTEGRAL):
         return _fractional_to_integral(c, target)
+    if (
+        isinstance(source, _INTEGRAL)
+        and isinstance(target, _INTEGRAL)
+        and _WIDTH[type(target)] < _WIDTH[type(source)]
+    ):
+        return _wrap(c, target)
     return c.try_cast(target)

@@ -222,3 +222,25 @@ def test_string_to_double_parity_on_random_text(spark):
         assert out.filter(~same).count() == 0
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_numeric_narrowing_parity(spark, ansi):
+    """double/long -> int/long/short/byte: saturation, NaN -> 0 and low-bit
+    wrapping exactly as legacy casts, whatever the ANSI setting."""
+    import random
+
+    rnd = random.Random(3)
+    doubles = [rnd.choice([rnd.uniform(-1e20, 1e20), rnd.uniform(-3e9, 3e9), float("nan"),
+                           float("inf"), float("-inf"), 2147483647.9, None]) for _ in range(2000)]
+    longs = [rnd.choice([rnd.randint(-2**63, 2**63 - 1), rnd.randint(-2**33, 2**33),
+                         2**63 - 1, -2**63, None]) for _ in range(2000)]
+    cases = [(doubles, "double", T.DoubleType()), (longs, "long", T.LongType())]
+    for values, ddl, src in cases:
+        df = spark.createDataFrame([(v,) for v in values], f"x {ddl}")
+        for dtype in (T.IntegerType(), T.LongType(), T.ShortType(), T.ByteType()):
+            mine = [r[0] for r in df.select(lenient_cast(F.col("x"), src, dtype)).collect()]
+            old = spark.conf.get("spark.sql.ansi.enabled")
+            spark.conf.set("spark.sql.ansi.enabled", "false")
+            legacy = [r[0] for r in df.select(F.col("x").cast(dtype)).collect()]
+            spark.conf.set("spark.sql.ansi.enabled", old)
+            assert mine == legacy
