@@ -48,7 +48,10 @@ def _find_field(df: DataFrame, name: str) -> T.StructField | None:
         matches = [f for f in df.schema.fields if f.name == name]
     else:
         matches = [f for f in df.schema.fields if f.name.lower() == name.lower()]
-    return matches[0] if len(matches) == 1 else None
+    if len(matches) > 1:
+        found = ", ".join(f.name for f in matches)
+        raise ProcessingError(f"Column {name!r} is ambiguous: {found}")
+    return matches[0] if matches else None
 
 
 def conform(

@@ -135,3 +135,15 @@ def test_custom_column_names(spark):
     out = customer_pipeline(df, cols)
     assert out.columns == ["cid", "sex", "years", "pay"]
     assert tuple(out.first()) == ("C1", "MALE", 30, "Unknown")
+
+
+def test_conform_case_insensitive_and_ambiguous(spark):
+    from argent.operators.stages import conform
+
+    df = spark.createDataFrame([("C1", "7")], "CUSTOMER_ID string, Age string")
+    schema = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("age", T.IntegerType())])
+    out = conform(df, schema)
+    assert out.columns == ["customer_id", "age"] and tuple(out.first()) == ("C1", 7)
+    both = spark.createDataFrame([("1", "2")], "age string, AGE string")
+    with pytest.raises(ProcessingError, match="ambiguous"):
+        conform(both, T.StructType([T.StructField("age", T.IntegerType())]))
