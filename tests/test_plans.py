@@ -78,3 +78,13 @@ def test_dedup_without_group_limit_rule_uses_aggregate(spark):
         assert sorted(map(tuple, agg_form.collect()), key=repr) == expected
     finally:
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+
+
+def test_spread_only_small_single_split_scans(spark):
+    from argent.sources.scans import spread
+
+    small = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    assert spread(small) is not small  # one row group, 8 cores: spread
+    assert spread(small, max_bytes=1024) is small  # above the size bound: left alone
+    many = small.repartition(64)
+    assert spread(many) is many  # enough partitions already
