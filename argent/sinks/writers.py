@@ -88,6 +88,24 @@ def _path_exists(df: DataFrame, destination: str) -> bool | None:
         return None
 
 
+def _check_format(df: DataFrame, fmt: str) -> None:
+    """Fail before any work when the sink format cannot be resolved (for
+    example ``delta`` without its jar), instead of after the whole plan ran."""
+    if fmt in _PATHLESS_FORMATS:
+        return
+    try:
+        spark = df.sparkSession
+        jvm = spark._jvm  # noqa: SLF001
+        conf = spark._jsparkSession.sessionState().conf()  # noqa: SLF001
+        lookup = jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource
+    except Exception:
+        return  # cannot tell cheaply; the write reports it
+    try:
+        lookup(fmt, conf)
+    except Exception as e:
+        raise LoadingError(f"Sink format {fmt!r} is not available: {e}") from e
+
+
 class _Persisted:
     """Persist for the duration of a block when the plan shuffles."""
 
@@ -120,6 +138,7 @@ def write_path(
     try:
         if fmt not in _PATHLESS_FORMATS and not destination:
             raise LoadingError("A destination path is required")
+        _check_format(df, fmt)
         m = mode.lower()
         if destination and m == "overwrite":
             _check_not_reading(df, destination)
@@ -161,6 +180,7 @@ def write_table(
     Returns the full table name."""
     full_name = f"{database}.{table_name}" if database else table_name
     try:
+        _check_format(df, fmt)
         with _Persisted(df, guard_empty) as out:
             if guard_empty and out.isEmpty():
                 raise LoadingError(f"Cannot load empty DataFrame as table {full_name}")

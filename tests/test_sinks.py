@@ -108,3 +108,14 @@ def test_ignore_on_existing_path_does_not_compute(spark, workdir):
     assert sc.statusTracker().getJobIdsForGroup("t-ignore") == []
     sc.setJobGroup("t-idle", "idle")
     assert spark.read.parquet(p).columns == ["name", "age", "city"]
+
+
+def test_unknown_format_fails_before_any_work(spark, workdir):
+    sc = spark.sparkContext
+    sc.setJobGroup("t-format", "format")
+    with pytest.raises(LoadingError, match="not available"):
+        write_path(_people(spark).groupBy("city").count(), f"{workdir}/out", fmt="no_such_format")
+    with pytest.raises(LoadingError, match="not available"):
+        write_table(_people(spark), "t_fmt", fmt="no_such_format")
+    assert sc.statusTracker().getJobIdsForGroup("t-format") == []
+    sc.setJobGroup("t-idle", "idle")
