@@ -347,6 +347,11 @@ def nested_scan() -> str:
             "embedding[1] AS first_value, embedding[-1] AS last_value FROM embeddings")
 
 
+def nested_map_scan() -> str:
+    return ("SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority, "
+            "2 AS n_keys FROM orders")
+
+
 def timestamp_parse() -> str:
     return ("SELECT event_id, ts_text, strptime(ts_text, '%Y-%m-%d %H:%M:%S') AS parsed FROM "
             "(SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events) e")

@@ -142,6 +142,24 @@ def q_nested_scan(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_nested_map_scan(s: SparkSession, d: str) -> DataFrame:
+    # A map column written to Parquet and read back by key.
+    orders = table(s, d, "orders").select(
+        "o_orderkey",
+        F.create_map(
+            F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), F.col("o_orderpriority")
+        ).alias("metadata"),
+    )
+    path = stage_parquet(orders, "orders-map")
+    back = read_parquet(s, path)
+    return back.select(
+        "o_orderkey",
+        F.col("metadata").getItem("status").alias("status"),
+        F.col("metadata").getItem("priority").alias("priority"),
+        F.size("metadata").alias("n_keys"),
+    )
+
+
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -257,6 +275,7 @@ QUERIES: dict[str, Query] = {
     "parquet_scan_schema": q_parquet_scan_schema,
     "parquet_scan_merge_schema": q_parquet_scan_merge_schema,
     "nested_scan": q_nested_scan,
+    "nested_map_scan": q_nested_map_scan,
     "timestamp_parse": q_timestamp_parse,
     "validated_scan": q_validated_scan,
     # sinks and the whole job
