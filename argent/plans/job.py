@@ -26,9 +26,10 @@ def bronze_to_silver(
     mode: str = "overwrite",
     date_mode: str = "parse_first",
 ) -> SilverPaths:
-    """Scan -> clean -> write, once per entity: two write jobs (each after a
-    one-row emptiness check), one dedup shuffle each. Customers run first;
-    if sales fails, customers is already written."""
+    """Scan -> clean -> write, once per entity. Per table: a one-row source
+    check, then the emptiness check and the write, which share one
+    computation (one scan, one dedup shuffle). Customers run first; if sales
+    fails, customers is already written."""
     out = output.rstrip("/")
     paths = SilverPaths(f"{out}/customers", f"{out}/sales")
 
