@@ -244,3 +244,31 @@ def test_numeric_narrowing_parity(spark, ansi):
             legacy = [r[0] for r in df.select(F.col("x").cast(dtype)).collect()]
             spark.conf.set("spark.sql.ansi.enabled", old)
             assert mine == legacy
+
+
+def test_strip_and_standardise_brute_force(spark):
+    """Random text (ASCII, Latin-1, Turkish, whitespace of every kind) against
+    plain Python definitions of the two rules."""
+    import random
+    import re
+
+    rnd = random.Random(42)
+    pool = list("abcXYZ019 -_!#&*.,\t\n\x0b\x0c\r\xa0İıçşéß") + ["male", "FEMALE", "Female "]
+    values = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = df.select(
+        "x",
+        strip_special(F.col("x")).alias("s"),
+        standardise(F.col("x"), ["MALE", "FEMALE"]).alias("g"),
+    ).collect()
+
+    def spark_trim(v):  # trim() removes the space character only
+        return v.strip(" ")
+
+    # Java's \\s is [ \\t\\n\\x0B\\f\\r]; NBSP and other Unicode spaces are not in it.
+    special = re.compile(r"[^a-zA-Z0-9 \t\n\x0b\x0c\r]")
+    for r in got:
+        assert r.s == special.sub("", spark_trim(r.x))
+        # Spark's upper() uses Java's root-locale rules (ß -> SS, i -> I).
+        u = spark_trim(r.x).upper()
+        assert r.g == (u if u in ("MALE", "FEMALE") else "Other")
