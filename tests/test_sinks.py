@@ -119,3 +119,14 @@ def test_unknown_format_fails_before_any_work(spark, workdir):
         write_table(_people(spark), "t_fmt", fmt="no_such_format")
     assert sc.statusTracker().getJobIdsForGroup("t-format") == []
     sc.setJobGroup("t-idle", "idle")
+
+
+def test_partitioned_write(spark, workdir):
+    p = f"{workdir}/by_city"
+    write_path(_people(spark), p, partition_by=["city"])
+    back = spark.read.parquet(p)
+    assert back.count() == 3
+    assert sorted(r.city for r in back.select("city").distinct().collect()) == ["X", "Y", "Z"]
+    # Partition pruning: a filter on the partition column reads one folder.
+    plan = back.filter("city = 'X'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(city" in plan
