@@ -44,3 +44,18 @@ def test_single_rule_methods(spark):
     c = cp.validate_customer_data(cp.validate_age(cp.validate_and_clean_gender(c)))
     assert c.filter("age < 0 OR age > 120").count() == 0
     assert cp.clean_customer_names(c, ["customer_id"]).count() == c.count()
+
+
+def test_loader_table_and_unavailable_delta(spark, workdir):
+    import pytest
+
+    from argent.errors import LoadingError
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS argent_compat_db LOCATION '{workdir}/wh'")
+    df = spark.createDataFrame([("A", 1)], "name string, n int")
+    DeltaLoader(spark).load_as_table(df, "people", database="argent_compat_db")
+    assert spark.table("argent_compat_db.people").count() == 1
+    spark.sql("DROP TABLE argent_compat_db.people")
+    # The Delta jar is not installed here: the loader fails before any work.
+    with pytest.raises(LoadingError, match="not available"):
+        DeltaLoader(spark, fmt="delta").load(df, f"{workdir}/delta_out")
