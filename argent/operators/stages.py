@@ -43,11 +43,13 @@ def _case_sensitive(df: DataFrame) -> bool:
         return False
 
 
-def _find_field(df: DataFrame, name: str) -> T.StructField | None:
-    if _case_sensitive(df):
-        matches = [f for f in df.schema.fields if f.name == name]
+def _find_field(
+    fields: list[T.StructField], name: str, case_sensitive: bool
+) -> T.StructField | None:
+    if case_sensitive:
+        matches = [f for f in fields if f.name == name]
     else:
-        matches = [f for f in df.schema.fields if f.name.lower() == name.lower()]
+        matches = [f for f in fields if f.name.lower() == name.lower()]
     if len(matches) > 1:
         found = ", ".join(f.name for f in matches)
         raise ProcessingError(f"Column {name!r} is ambiguous: {found}")
@@ -68,8 +70,9 @@ def conform(
         return df
     exprs: list[Column] = []
     missing: list[str] = []
+    fields, case_sensitive = df.schema.fields, _case_sensitive(df)
     for field in schema.fields:
-        src = _find_field(df, field.name)
+        src = _find_field(fields, field.name, case_sensitive)
         if src is None:
             missing.append(field.name)
             continue
