@@ -5,10 +5,12 @@ from __future__ import annotations
 from argent.llm.bpe import op2_bpe
 from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
 from argent.llm.pii import op3_pii
+from argent.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_pii": op3_pii,
+    "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
 }
 

@@ -1,0 +1,63 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from argent.llm.toxicity import ToxicityModel, fit_toxicity, held_out, op7_toxicity, score_toxicity, windows
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    got = op7_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").filter("held_out").collect()
+    toxic, clean = [r for r in got if r.toxic == 1], [r for r in got if r.toxic == 0]
+    assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
+    assert sum(r.predicted for r in toxic) >= 0.5 * len(toxic)  # 40 toxic rows to learn from
+    assert op7_toxicity(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice(["ba", "do", "ri", "lem", "sta", "une"]) for _ in range(rng.randint(1, 4)))
+    rows = []
+    for i in range(600):
+        words = [word() for _ in range(80)]
+        toxic = int(i % 4 == 0)
+        for _ in range(3 * toxic):
+            words.insert(rng.randrange(80), rng.choice(["grukk", "zpafft"]) + rng.choice(["", "en", "a"]))
+        rows.append((i, " ".join(words), toxic))
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_finds_unseen_forms_and_leaves_clean_text(spark, made):
+    model = fit_toxicity(made.filter("doc_id < 400"))
+    got = score_toxicity(made.filter("doc_id >= 400"), model).join(made, "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in got) >= 0.98 * len(got)
+    new = spark.createDataFrame([(1, "une GRUKKISSIMO sta grukkor ba Zpaffto do"), (2, "une sta ba do")], "doc_id long, text string")
+    assert [r.predicted for r in score_toxicity(new, model).orderBy("doc_id").collect()] == [1, 0]
+
+
+def test_nulls_ties_empty_and_extra_columns(spark, made):
+    model = fit_toxicity(made)
+    rows = [(1, None, 9.0), (2, "", 9.0), (None, "x" * 100_000, 9.0), (3, "ba do", 9.0), (3, "ba do", 9.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    got = score_toxicity(df, model).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
+    assert score_toxicity(df.limit(0), model).count() == 0
+    assert fit_toxicity(made.limit(0)).weights[-1] < 0
+    only = fit_toxicity(made.filter("toxic = 1"))
+    assert [r.predicted for r in score_toxicity(df.limit(1), only).collect()] == [1]
+    assert isinstance(fit_toxicity(made.withColumn("toxic", F.lit(None).cast("int"))), ToxicityModel)
+
+
+def test_windows_cover_the_text():
+    assert "".join(windows("Ab " + "c" * 100)) == "ab" + "c" * 100
+
+
+def test_fold(spark):
+    import zlib
+
+    df = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", held_out().alias("h"))
+    assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in df.collect())
