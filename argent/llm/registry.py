@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from argent.llm.bpe import op2_bpe
+from argent.llm.brown_lm import op10_brown_lm
 from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
 from argent.llm.pii import op3_pii
 from argent.llm.toxicity import op7_toxicity
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_brown_lm": op10_brown_lm,
 }
 
 ORACLES = {
