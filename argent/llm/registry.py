@@ -7,15 +7,18 @@ from argent.llm.brown_lm import op10_brown_lm
 from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
 from argent.llm.pii import op3_pii
 from argent.llm.toxicity import op7_toxicity
+from argent.llm.url_filter import ORACLE_OP4, op4_url_filter
 
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_pii": op3_pii,
+    "op4_url_filter": op4_url_filter,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_brown_lm": op10_brown_lm,
 }
 
 ORACLES = {
+    "op4_url_filter": ORACLE_OP4,
     "op8_exact_dedup": ORACLE_OP8,
 }
