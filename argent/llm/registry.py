@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from argent.llm.bpe import op2_bpe
 from argent.llm.brown_lm import op10_brown_lm
+from argent.llm.decontaminate import ORACLE_OP1, op1_decontaminate
 from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
+from argent.llm.line_dedup import ORACLE_OP5, op5_line_dedup
 from argent.llm.pii import op3_pii
 from argent.llm.toxicity import op7_toxicity
 from argent.llm.url_filter import ORACLE_OP4, op4_url_filter
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
     "op3_pii": op3_pii,
     "op4_url_filter": op4_url_filter,
+    "op5_line_dedup": op5_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_brown_lm": op10_brown_lm,
 }
 
 ORACLES = {
+    "op1_decontaminate": ORACLE_OP1,
     "op4_url_filter": ORACLE_OP4,
+    "op5_line_dedup": ORACLE_OP5,
     "op8_exact_dedup": ORACLE_OP8,
 }
