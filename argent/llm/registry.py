@@ -6,6 +6,7 @@ from argent.llm.bpe import op2_bpe
 from argent.llm.brown_lm import op10_brown_lm
 from argent.llm.decontaminate import ORACLE_OP1, op1_decontaminate
 from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
+from argent.llm.jaccard_join import op6_jaccard_join
 from argent.llm.line_dedup import ORACLE_OP5, op5_line_dedup
 from argent.llm.pii import op3_pii
 from argent.llm.toxicity import op7_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_url_filter": op4_url_filter,
     "op5_line_dedup": op5_line_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_brown_lm": op10_brown_lm,
