@@ -9,6 +9,7 @@ from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
 from argent.llm.jaccard_join import op6_jaccard_join
 from argent.llm.line_dedup import ORACLE_OP5, op5_line_dedup
 from argent.llm.pii import op3_pii
+from argent.llm.suffix_dedup import op9_suffix_dedup
 from argent.llm.toxicity import op7_toxicity
 from argent.llm.url_filter import ORACLE_OP4, op4_url_filter
 
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_brown_lm": op10_brown_lm,
 }
 

@@ -1,0 +1,86 @@
+import hashlib
+import random
+
+import numpy as np
+
+from argent.llm import suffix_dedup
+from argent.llm.suffix_dedup import MIN_BYTES, anchors, op9_suffix_dedup, previous_factor, remove_repeats, suffix_array
+
+SF = "/root/testdata/sf0.01"
+
+
+def _brute(rows):
+    datas = [(float("inf") if i is None else i, (t or "").encode()) for i, t in rows]
+    least = {}
+    for i, d in datas:
+        for s in range(len(d) - MIN_BYTES + 1):
+            w = d[s : s + MIN_BYTES]
+            if i < least.get(w, float("inf")):
+                least[w] = i
+    out = []
+    for (i, _), (k, d) in zip(rows, datas):
+        gone = np.zeros(len(d) + 1, bool)
+        for s in range(len(d) - MIN_BYTES + 1):
+            if least.get(d[s : s + MIN_BYTES], k) < k:
+                gone[s : s + MIN_BYTES] = True
+        kept = bytes(np.frombuffer(d, np.uint8)[~gone[: len(d)]])
+        out.append((i, len(d), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_query_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted(map(tuple, op9_suffix_dedup(spark, SF).collect()), key=str)
+    assert got == _brute(rows) and sum(r[2] for r in got) > 0
+
+
+def test_awkward_texts_against_brute_force(spark):
+    rng = random.Random(3)
+    base = "".join(rng.choice("abé漢 ") for _ in range(400))
+    rows = [(50, base), (3, base[:49]), (4, base[:50]), (60, base[100:300]), (61, "x" + base[100:149]), (62, base[100:150] + base[150:200])]
+    rows += [(70, "a" * 3000), (71, "a" * 120), (72, "ab" * 900), (73, "ab" * 40), (74, "b" + "a" * 49), (2, "a" * 55)]
+    rows += [(80, None), (81, ""), (None, base), (None, base), (50, base[::-1]), (50, base), (-5, base[200:260]), (90, "a" * 49 + "é" * 60)]
+    for k in range(100, 140):
+        cut = rng.randrange(300)
+        rows.append((k, "".join(rng.choice("abcdef") for _ in range(rng.randint(0, 90))) + base[cut : cut + rng.randint(20, 200)] + rng.choice(["", base[:60]])))
+    df = spark.createDataFrame([(*r, b"x") for r in rows], "doc_id long, text string, kept binary").repartition(4)
+    got = remove_repeats(df).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=str) == _brute(rows)
+    assert remove_repeats(df.limit(0)).count() == 0
+
+
+def test_every_window_is_anchored(monkeypatch):
+    rng = np.random.default_rng(2)
+    for alphabet in (2, 4, 200):
+        texts = [rng.integers(0, alphabet, n, dtype=np.uint8).tobytes() for n in (10, 49, 50, 51, 400, 3, 900)] + [b"\0" * 300]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum([len(t) for t in texts])
+        h, p, a, z = anchors(data, ends)
+        seen = np.zeros(len(data), bool)
+        for x, y, q in zip(a, z, p):
+            assert x <= y <= q and q + suffix_dedup.GRAM <= x + MIN_BYTES
+            seen[x : y + 1] = True
+        want = np.zeros(len(data), bool)
+        for e, t in zip(ends, texts):
+            if len(t) >= MIN_BYTES:
+                want[e - len(t) : e - MIN_BYTES + 1] = True
+        assert (seen == want).all()
+
+
+def test_previous_factors_against_all_pairs():
+    rng = np.random.default_rng(9)
+    for _ in range(30):
+        n = int(rng.integers(1, 60))
+        data = np.concatenate([rng.integers(0, 2, n + 40, dtype=np.uint8) if rng.random() < 0.5 else np.zeros(n + 40, np.uint8), np.zeros(MIN_BYTES, np.uint8)])
+        starts = np.arange(n)
+        doc = rng.integers(0, 5, n)
+        order, lcp = suffix_array(data, starts)
+        texts = [data[s : s + MIN_BYTES].tobytes() for s in starts]
+        assert [texts[i] for i in order] == sorted(texts)
+
+        def common(x, y):
+            return next((k for k in range(MIN_BYTES) if x[k] != y[k]), MIN_BYTES)
+
+        got = previous_factor(doc[order], lcp)
+        for k, i in enumerate(order):
+            assert got[k] == max((common(texts[i], texts[j]) for j in range(n) if doc[j] < doc[i]), default=0)
