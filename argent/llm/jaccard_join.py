@@ -104,7 +104,7 @@ class Plan:
             low = np.bincount(block, (fine & np.uint64(0xFFFFFFFF)).astype(np.float64), m)
             high = np.bincount(block, (fine >> np.uint64(32)).astype(np.float64), m)
             key = low.astype(np.uint64) * _K[0] + high.astype(np.uint64) * _K[1]
-            out.append(_mix(_mix(key + np.uint64(tag + 1) * _K[2]) + np.arange(m, dtype=np.uint64) * _K[3]))
+            out.append(_mix(_mix(key + _mix(np.array([tag + 1], np.uint64))) + np.arange(m, dtype=np.uint64) * _K[3]))
         return np.concatenate(out)
 
 
