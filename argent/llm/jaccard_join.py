@@ -129,8 +129,8 @@ def _cells(plan: Plan, size: int):
                 keys.append(None if i is None or i in done else plan.cells(h).view(np.int64))
                 done[i] = True
             yield pa.record_batch(
-                [batch.column(0), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "sid", "n", "cells"],
+                [batch.column(0), batch.column(2), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "body", "sid", "n", "cells"],
             )
 
     return run
@@ -255,8 +255,9 @@ def jaccard_components(
     threshold: tuple[int, int] = THRESHOLD,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links
-    of Jaccard similarity of at least ``threshold``, itself included) and set_id
-    (null for texts without words), one row per row.
+    of Jaccard similarity of at least ``threshold``, itself included), group_id
+    (the component itself, null for texts without words) and body (xxhash64 of
+    the text), one row per row.
 
     Texts without words, null ones among them, are linked with nothing.
     Repeated rows are each answered. A null doc_id never becomes a component
@@ -264,9 +265,9 @@ def jaccard_components(
     """
     plan = Plan(*threshold)
     spark = docs.sparkSession
-    base = texts(docs, id_col, text_col)
+    base = texts(docs, id_col, text_col).withColumn("body", F.xxhash64("text"))
     id_type = base.schema["doc_id"].dataType.simpleString()
-    rows = staged(base.mapInArrow(_cells(plan, shingle), f"doc_id {id_type}, sid long, n long, cells array<long>"), "op6-cells")
+    rows = staged(base.mapInArrow(_cells(plan, shingle), f"doc_id {id_type}, body long, sid long, n long, cells array<long>"), "op6-cells")
 
     exploded = rows.select("sid", F.explode("cells").alias("cell"))
     several = exploded.groupBy("cell").agg(F.min("sid").alias("center"), F.max("sid").alias("last")).filter("center <> last")
@@ -298,10 +299,30 @@ def jaccard_components(
     named = of_set.join(comps.select(F.col("node").alias("sid"), "component"), "sid", "left")
     named = staged(named.select("sid", "least", F.coalesce("component", "sid").alias("component")), "op6-named")
     smallest = staged(named.groupBy("component").agg(F.min("least").alias("smallest")), "op6-smallest")
-    answer = staged(named.join(smallest, "component").select("sid", "smallest"), "op6-answer")
-    return rows.select("doc_id", "sid", "n").join(answer, "sid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"), F.col("sid").alias("set_id")
+    answer = staged(named.join(smallest, "component").select("sid", "component", "smallest"), "op6-answer")
+    return rows.select("doc_id", "body", "sid", "n").join(answer, "sid", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"),
+        F.col("component").alias("group_id"), "body",
+    )
+
+
+def one_of_each(docs: DataFrame, shingle: int, threshold: tuple[int, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input's rows, all columns, with one document of each component: that
+    of smallest doc_id (a null one last), then of smallest text hash. Texts
+    without words all stay; rows that repeat doc_id and text stay once."""
+    found = jaccard_components(docs, id_col, text_col, shingle, threshold)
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "body")
+    keepers = (
+        found.filter("group_id IS NOT NULL").groupBy("group_id").agg(F.min(key).alias("k")).select("k.doc_id", "k.body")
+        .unionByName(found.filter("group_id IS NULL").select("doc_id", "body")).distinct()
     )
+    keepers = staged(keepers, "op6-keepers").select(F.col("doc_id").alias("i"), F.col("body").alias("b"))
+    row = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("body"),
+    )
+    kept = row.join(keepers, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("body") == F.col("b")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "body"]).select("row.*")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
