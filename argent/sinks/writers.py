@@ -1,68 +1,75 @@
 """Path and catalog-table sinks.
 
 The format is an argument (default Parquet; ``delta`` works where its jar is
-installed). Guards, all before anything is written:
-
-* an empty result is refused (an overwrite with nothing would wipe the
-  destination);
-* an overwrite of a path the frame itself reads from is refused (Spark would
-  delete the input first and leave the destination empty);
-* an append to a path holding another schema is refused (plain Parquet,
-  unlike Delta, would accept it silently).
-
-When the frame's plan has a shuffle, it is persisted for the duration of the
-write, so the emptiness check and the write share one computation: the check
-runs the map stage once and the write reuses its cached output instead of
-re-reading the source.
+installed). A replacing write never touches what is there until the new data
+stands complete: it goes to a fresh sibling folder (or table) while the rows are
+counted, an empty result is refused, and only then the two are swapped by
+renames. So the frame may read from its own destination, under whatever
+spelling of the path, and nothing is cached or computed twice.
+
+A folder swap needs a filesystem whose rename is cheap, such as HDFS. On an
+object store, where a rename copies, write to a table format instead: formats
+that Spark does not write as plain files are left to their own transactions,
+with one extra ``isEmpty`` before the write.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from typing import Any
 
-from pyspark import StorageLevel
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import functions as F
 
 from argent.errors import LoadingError
 
 _PATHLESS_FORMATS = {"noop", "console", "memory"}
+_FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro"}
+_MODES = {"overwrite", "append", "ignore", "error", "errorifexists", "default"}
 
 
-def _norm(p: str) -> str:
-    for prefix in ("file://", "file:"):
-        if p.startswith(prefix):
-            p = p[len(prefix):]
-    while "//" in p:
-        p = p.replace("//", "/")
-    return p.rstrip("/")
+def _quoted(*parts: str) -> str:
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
-def _has_shuffle(df: DataFrame) -> bool:
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
-    except Exception:
-        return True
-    return "Exchange" in plan
-
-
-def _check_not_reading(df: DataFrame, destination: str) -> None:
-    dest = _norm(destination)
-    try:
-        files = df.inputFiles()
-    except Exception:
-        return
-    for f in files:
-        nf = _norm(f)
-        if nf == dest or nf.startswith(dest + "/"):
-            raise LoadingError(
-                f"Refusing to overwrite {destination}: the DataFrame reads from it"
-            )
+class _Folder:
+    """A destination path on its own filesystem."""
 
-
-def _same_schema(a, b) -> bool:
-    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
+    def __init__(self, df: DataFrame, path: str):
+        spark = df.sparkSession
+        self._path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+        given = self._path(path)
+        self.fs = given.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        self.at = self.fs.makeQualified(given)
+
+    def sibling(self, label: str):
+        return self._path(self.at.getParent(), f".{self.at.getName()}.{uuid.uuid4().hex}.{label}")
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.at)
+
+    def _rename(self, source, target) -> None:
+        if not self.fs.rename(source, target):
+            raise LoadingError(f"Could not move {source} to {target}")
+
+    def replace_with(self, new) -> None:
+        """Put ``new`` in this place; what was here goes once it stands."""
+        old = None
+        if self.exists():
+            old = self.sibling("old")
+            self._rename(self.at, old)
+        try:
+            self._rename(new, self.at)
+        except Exception:
+            if old is not None:
+                self._rename(old, self.at)
+            raise
+        if old is not None:
+            self.fs.delete(old, True)
 
 
 def _check_append_schema(df: DataFrame, fmt: str, destination: str) -> None:
@@ -70,57 +77,53 @@ def _check_append_schema(df: DataFrame, fmt: str, destination: str) -> None:
         existing = df.sparkSession.read.format(fmt).load(destination).schema
     except AnalysisException:
         return  # nothing there yet
-    if not _same_schema(existing, df.schema):
+    if [(f.name, f.dataType) for f in existing.fields] != [(f.name, f.dataType) for f in df.schema.fields]:
         raise LoadingError(
             f"Cannot append to {destination}: schema {df.schema.simpleString()} "
             f"differs from existing {existing.simpleString()}"
         )
 
 
-def _path_exists(df: DataFrame, destination: str) -> bool | None:
-    """Whether ``destination`` exists (None when it cannot be told cheaply)."""
-    try:
-        spark = df.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(destination)  # noqa: SLF001
-        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-        return bool(fs.exists(jpath))
-    except Exception:
-        return None
-
-
 def _check_format(df: DataFrame, fmt: str) -> None:
     """Fail before any work when the sink format cannot be resolved (for
     example ``delta`` without its jar), instead of after the whole plan ran."""
     if fmt in _PATHLESS_FORMATS:
         return
+    spark = df.sparkSession
+    conf = spark._jsparkSession.sessionState().conf()  # noqa: SLF001
     try:
-        spark = df.sparkSession
-        jvm = spark._jvm  # noqa: SLF001
-        conf = spark._jsparkSession.sessionState().conf()  # noqa: SLF001
-        lookup = jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource
-    except Exception:
-        return  # cannot tell cheaply; the write reports it
-    try:
-        lookup(fmt, conf)
-    except Exception as e:
+        spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(fmt, conf)  # noqa: SLF001
+    except (Py4JJavaError, AnalysisException) as e:
         raise LoadingError(f"Sink format {fmt!r} is not available: {e}") from e
 
 
-class _Persisted:
-    """Persist for the duration of a block when the plan shuffles."""
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
-    def __init__(self, df: DataFrame, enabled: bool):
-        self.df = df
-        self.enabled = enabled and _has_shuffle(df)
 
-    def __enter__(self) -> DataFrame:
-        if self.enabled:
-            return self.df.persist(StorageLevel.MEMORY_AND_DISK)
-        return self.df
+def _writer(
+    df: DataFrame, fmt: str, mode: str, options: Mapping[str, Any] | None, partition_by: list[str] | None = None
+) -> DataFrameWriter:
+    writer = df.write.format(fmt).mode(mode).options(**(options or {}))
+    return writer.partitionBy(*partition_by) if partition_by else writer
 
-    def __exit__(self, *exc) -> None:
-        if self.enabled:
-            self.df.unpersist()
+
+@contextmanager
+def _reported(what: str) -> Iterator[None]:
+    try:
+        yield
+    except LoadingError:
+        raise
+    except Exception as e:
+        raise LoadingError(f"Failed to load data {what}: {e}") from e
+
+
+def _mode(mode: str) -> str:
+    m = mode.lower()
+    if m not in _MODES:
+        raise LoadingError(f"Unknown write mode {mode!r}")
+    return "errorifexists" if m in ("error", "default") else m
 
 
 def write_path(
@@ -131,40 +134,46 @@ def write_path(
     options: Mapping[str, Any] | None = None,
     partition_by: list[str] | None = None,
     guard_empty: bool = True,
-) -> None:
-    """``df.write.format(fmt).mode(mode).options(...).save(destination)``
-    behind the guards above. ``fmt="noop"`` runs the plan without output."""
+) -> bool:
+    """``df`` to a path, as the module says; whether anything was written. ``fmt="noop"`` runs the plan
+    without output. Modes ``ignore`` and ``errorifexists`` compute nothing when
+    the destination exists. An append to another schema is refused (plain
+    Parquet would accept it silently); an append that turns out empty is
+    reported after it added a file without rows."""
     target = destination or ""
-    try:
+    empty = f"Cannot load empty DataFrame to {target}"
+    with _reported(f"to {target}"):
+        m = _mode(mode)
         if fmt not in _PATHLESS_FORMATS and not destination:
             raise LoadingError("A destination path is required")
         _check_format(df, fmt)
-        m = mode.lower()
-        if destination and m == "overwrite":
-            _check_not_reading(df, destination)
-        if destination and m == "append" and fmt == "parquet":
+        if fmt not in _FILE_FORMATS:
+            if guard_empty and df.isEmpty():
+                raise LoadingError(empty)
+            writer = _writer(df, fmt, m, options, partition_by)
+            writer.save(destination) if destination else writer.save()
+            return True
+        counted, seen = _counted(df)
+        if m == "append":
             _check_append_schema(df, fmt, destination)
-        if destination and m in ("ignore", "error", "errorifexists", "default"):
-            if _path_exists(df, destination):
-                if m == "ignore":
-                    return  # Spark would skip the write: do not compute the frame
-                raise LoadingError(f"Failed to load data to {destination}: it already exists")
-        with _Persisted(df, guard_empty) as out:
-            if guard_empty and out.isEmpty():
-                raise LoadingError(f"Cannot load empty DataFrame to {target}")
-            writer = out.write.format(fmt).mode(mode)
-            for k, v in (options or {}).items():
-                writer = writer.option(k, v)
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            if destination:
-                writer.save(destination)
-            else:
-                writer.save()
-    except LoadingError:
-        raise
-    except Exception as e:
-        raise LoadingError(f"Failed to load data to {target}: {e}") from e
+            _writer(counted, fmt, m, options, partition_by).save(destination)
+            if guard_empty and not seen.get.get("rows"):
+                raise LoadingError(empty)
+            return True
+        folder = _Folder(df, destination)
+        if m != "overwrite" and folder.exists():
+            if m == "ignore":
+                return False
+            raise LoadingError(f"Failed to load data to {destination}: it already exists")
+        new = folder.sibling("new")
+        try:
+            _writer(counted, fmt, "errorifexists", options, partition_by).save(new.toString())
+            if guard_empty and not seen.get.get("rows"):
+                raise LoadingError(empty)
+            folder.replace_with(new)
+        finally:
+            folder.fs.delete(new, True)  # gone already unless something failed
+        return True
 
 
 def write_table(
@@ -176,20 +185,32 @@ def write_table(
     options: Mapping[str, Any] | None = None,
     guard_empty: bool = True,
 ) -> str:
-    """``saveAsTable`` into the session catalog; the database must exist.
-    Returns the full table name."""
+    """``df`` to a table of the session catalog; the database must exist. An
+    overwrite fills a new table and swaps the names. Returns the full name."""
     full_name = f"{database}.{table_name}" if database else table_name
-    try:
+    empty = f"Cannot load empty DataFrame as table {full_name}"
+    parts = [*([database] if database else []), table_name]
+    with _reported(f"as table {full_name}"):
+        m = _mode(mode)
         _check_format(df, fmt)
-        with _Persisted(df, guard_empty) as out:
-            if guard_empty and out.isEmpty():
-                raise LoadingError(f"Cannot load empty DataFrame as table {full_name}")
-            writer = out.write.format(fmt).mode(mode)
-            for k, v in (options or {}).items():
-                writer = writer.option(k, v)
-            writer.saveAsTable(full_name)
+        spark, here = df.sparkSession, _quoted(*parts)
+        there = spark.catalog.tableExists(here)
+        if there and m == "ignore":
+            return full_name
+        counted, seen = _counted(df)
+        if m != "overwrite" or not there:
+            spot = here
+            _writer(counted, fmt, m, options).saveAsTable(spot)
+        else:
+            spot = _quoted(*parts[:-1], f"{table_name}__new_{uuid.uuid4().hex[:12]}")
+            _writer(counted, fmt, "errorifexists", options).saveAsTable(spot)
+        if guard_empty and not seen.get.get("rows"):
+            if spot != here or not there:
+                spark.sql(f"DROP TABLE {spot}")
+            raise LoadingError(empty)
+        if spot != here:
+            old = _quoted(*parts[:-1], f"{table_name}__old_{uuid.uuid4().hex[:12]}")
+            spark.sql(f"ALTER TABLE {here} RENAME TO {old}")
+            spark.sql(f"ALTER TABLE {spot} RENAME TO {here}")
+            spark.sql(f"DROP TABLE {old}")
         return full_name
-    except LoadingError:
-        raise
-    except Exception as e:
-        raise LoadingError(f"Failed to load data as table {full_name}: {e}") from e

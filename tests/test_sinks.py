@@ -1,5 +1,7 @@
 """Path and table sinks: modes, guards, error wrapping."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,14 +59,51 @@ def test_bad_mode_and_unwritable_path(spark, workdir):
         write_path(_people(spark), "/proc/nope/x")
 
 
-def test_self_overwrite_refused(spark, workdir):
+@pytest.mark.parametrize("spelling", ["plain", "uri", "relative", "symlink"])
+def test_overwriting_ones_own_input(spark, workdir, spelling, monkeypatch):
+    real = workdir.removeprefix("file:") + "/a folder (1)/out"
+    write_path(_people(spark), real)
+    given = real
+    if spelling == "uri":
+        given = "file:" + real
+    elif spelling == "relative":  # as Hadoop sees it, from the JVM's folder
+        given = os.path.relpath(real, spark._jvm.java.lang.System.getProperty("user.dir"))
+    elif spelling == "symlink":
+        given = real + "-link"
+        os.symlink(real, given)
+    write_path(spark.read.parquet(real).filter("age > 1"), given)
+    assert sorted(r.age for r in spark.read.parquet(given).collect()) == [2, 3]
+    assert spark.read.parquet(real).count() in (2, 3)  # readable under its own name, too
+    with pytest.raises(LoadingError, match="empty"):
+        write_path(spark.read.parquet(real).filter("age > 9"), given)
+    assert spark.read.parquet(given).count() == 2
+    assert [f for f in os.listdir(os.path.dirname(real)) if f.startswith(".out")] == []
+
+
+def test_failed_write_leaves_the_destination(spark, workdir):
     p = f"{workdir}/out"
     write_path(_people(spark), p)
-    with pytest.raises(LoadingError, match="reads from it"):
-        write_path(spark.read.parquet(p), p)
+    bad = _people(spark).withColumn("x", F.raise_error(F.lit("no")))
+    with pytest.raises(LoadingError, match="Failed to load data"):
+        write_path(bad, p)
     assert spark.read.parquet(p).count() == 3
 
 
+def test_a_callers_cache_is_left_alone(spark, workdir):
+    df = _people(spark).groupBy("city").count().persist()
+    write_path(df, f"{workdir}/out")
+    assert df.storageLevel.useMemory
+    df.unpersist()
+
+
+def test_one_action_per_write(spark, workdir):
+    sc = spark.sparkContext
+    sc.setJobGroup("t-one", "one")
+    assert write_path(_people(spark).repartition(3), f"{workdir}/out")
+    assert len(sc.statusTracker().getJobIdsForGroup("t-one")) <= 2  # the shuffle stage and the write
+    sc.setJobGroup("t-idle", "idle")
+
+
 def test_append_with_other_schema_refused(spark, workdir):
     p = f"{workdir}/out"
     write_path(_people(spark), p)
@@ -74,9 +113,23 @@ def test_append_with_other_schema_refused(spark, workdir):
 
 
 def test_options_pass_through(spark, workdir):
-    p = f"{workdir}/out"
-    write_path(_people(spark), p, options={"compression": "gzip"})
-    assert spark.read.parquet(p).count() == 3
+    for codec, ending in (("gzip", ".gz.parquet"), ("snappy", ".snappy.parquet")):
+        write_path(_people(spark), f"{workdir}/{codec}", options={"compression": codec})
+        names = os.listdir(f"{workdir}/{codec}".removeprefix("file:"))
+        assert [n for n in names if n.startswith("part-")] and all(n.endswith(ending) for n in names if n.startswith("part-"))
+
+
+def test_table_overwrite_reads_itself_and_refuses_empty(spark, workdir):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS argent_swap_db LOCATION '{workdir}/swap'")
+    full = write_table(_people(spark), "people", database="argent_swap_db")
+    write_table(spark.table(full).filter("age > 1"), "people", database="argent_swap_db")
+    assert spark.table(full).count() == 2
+    with pytest.raises(LoadingError, match="empty"):
+        write_table(spark.table(full).filter("age > 9"), "people", database="argent_swap_db")
+    write_table(_people(spark), "people", database="argent_swap_db", mode="append")
+    assert spark.table(full).count() == 5
+    assert [t.name for t in spark.catalog.listTables("argent_swap_db")] == ["people"]
+    spark.sql(f"DROP TABLE {full}")
 
 
 def test_table_sink(spark, workdir):
