@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from argent.sources.scans import spread
-
 # The bronze view definitions used by tests and oracles.
 BRONZE_CUSTOMERS_SQL = """
 SELECT CASE WHEN c_custkey % 50 = 7 THEN NULL WHEN c_custkey % 50 = 8 THEN '' WHEN c_custkey % 50 = 17 THEN '   '
@@ -34,10 +32,9 @@ SELECT CASE WHEN l_partkey % 97 = 5 THEN '' WHEN l_partkey % 97 = 6 THEN NULL EL
 """
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
-    """A driver table; small single-split files are spread over the cores."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_input else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

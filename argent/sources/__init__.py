@@ -1,7 +1,6 @@
 """File scans and table-level source checks."""
 
 from argent.sources.scans import (
-    count_at_most,
     read_csv,
     read_csv_validated,
     read_parquet,
@@ -11,7 +10,6 @@ from argent.sources.scans import (
 )
 
 __all__ = [
-    "count_at_most",
     "read_csv",
     "read_csv_validated",
     "read_parquet",
