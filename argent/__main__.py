@@ -15,8 +15,6 @@ import json
 from pyspark.sql import SparkSession
 
 from argent.plans.job import bronze_to_silver
-from argent.plans.quality import customer_quality, sales_quality
-from argent.sources.scans import read_csv, read_parquet
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -31,15 +29,13 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("argent-bronze-to-silver").getOrCreate()
-    paths = bronze_to_silver(
+    done = bronze_to_silver(
         spark, args.customers, args.sales, args.output,
         fmt=args.format, mode=args.mode, date_mode=args.date_mode,
     )
-    out = {"customers": paths.customers, "sales": paths.sales}
-    if args.report:
-        out["customer_quality"] = customer_quality(read_parquet(spark, args.customers)).first().asDict()
-        sales_raw = read_csv(spark, args.sales, infer_schema=False)
-        out["sales_quality"] = sales_quality(sales_raw, date_mode=args.date_mode).first().asDict()
+    out = {"customers": done.customers, "sales": done.sales}
+    if args.report:  # gathered while writing
+        out |= {"customer_quality": done.customer_quality, "sales_quality": done.sales_quality}
     print(json.dumps(out))
 
 

@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from argent.plans.pipelines import customer_pipeline, sales_pipeline
+from argent.plans.quality import observed_customer_pipeline, observed_sales_pipeline
 from argent.sinks.writers import write_path
 from argent.sources.scans import read_csv, read_parquet
 
 
 @dataclass(frozen=True)
-class SilverPaths:
+class SilverTables:
+    """Where the two tables are, and the counters of the run that wrote them
+    (none for a table that ``mode="ignore"`` left alone)."""
+
     customers: str
     sales: str
+    customer_quality: dict[str, int]
+    sales_quality: dict[str, int]
 
 
 def bronze_to_silver(
@@ -25,17 +30,21 @@ def bronze_to_silver(
     fmt: str = "parquet",
     mode: str = "overwrite",
     date_mode: str = "parse_first",
-) -> SilverPaths:
-    """Scan -> clean -> write, once per entity. Per table: a one-row source
-    check, then the emptiness check and the write, which share one
-    computation (one scan, one dedup shuffle). Customers run first; if sales
-    fails, customers is already written."""
+) -> SilverTables:
+    """Scan -> clean -> write, once per entity: a one-row source check, then
+    one write, which counts as it goes. Customers run first; if sales fails,
+    customers is already written."""
     out = output.rstrip("/")
-    paths = SilverPaths(f"{out}/customers", f"{out}/sales")
-
-    customers: DataFrame = customer_pipeline(read_parquet(spark, customer_source))
-    write_path(customers, paths.customers, fmt=fmt, mode=mode)
-
-    sales_raw = read_csv(spark, sales_source, header=True, infer_schema=False, delimiter=",")
-    write_path(sales_pipeline(sales_raw, date_mode=date_mode), paths.sales, fmt=fmt, mode=mode)
-    return paths
+    raw = {
+        "customers": read_parquet(spark, customer_source),
+        "sales": read_csv(spark, sales_source, header=True, infer_schema=False, delimiter=","),
+    }
+    plans = {
+        "customers": observed_customer_pipeline(raw["customers"]),
+        "sales": observed_sales_pipeline(raw["sales"], date_mode=date_mode),
+    }
+    counters = [
+        seen.report() if write_path(silver, f"{out}/{name}", fmt=fmt, mode=mode) else {}
+        for name, (silver, seen) in plans.items()
+    ]
+    return SilverTables(f"{out}/customers", f"{out}/sales", *counters)

@@ -4,9 +4,10 @@ Each counter is taken *at its position in the flow* (for example invalid
 quantities are counted after missing ones were filled with 0.0, so they
 count too). ``customer_quality`` / ``sales_quality`` compute all of them in
 one job: one scan, one shuffle on the entity key with map-side partial
-aggregation, then a one-row global aggregate. The kept row of each key (which
-decides the post-dedup counters) is the ``min`` of a struct of the other
-columns, the same order the dedup uses (ascending, NULLS FIRST).
+aggregation, then a one-row global aggregate. Only counts cross the shuffle:
+quantity and price are never NULL after the fill, and customer_id leads the
+dedup order (ascending, NULLS FIRST, '' before other text), so the kept row of
+an invoice lacks a customer exactly when some row of that invoice does.
 
 ``observed_*_pipeline`` return the pipeline plus ``Observation`` objects, so
 the counters are filled as a by-product of the single write action. Like
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from argent.functions.exprs import is_missing_string
 from argent.operators.customers import (
     age_invalid,
     clean_gender,
@@ -37,17 +39,18 @@ from argent.operators.sales import (
     parse_invoice_date,
     price_invalid,
     quantity_invalid,
-    sale_valid,
     validate_numeric_fields,
     validate_sales,
 )
 from argent.operators.stages import col, dedup
 from argent.plans.pipelines import customer_prepare, sales_prepare
-from argent.schemas import CustomerColumns, SalesColumns
+from argent.schemas import KEY, CustomerColumns, Entity, SalesColumns
 
 _N = "__argent_n"
-_KEPT = "__argent_kept"
+_NO_CUSTOMER = "no_customer"
 
+CUSTOMER_ROW_COUNTERS = ("invalid_genders", "invalid_ages")
+SALES_ROW_COUNTERS = ("null_invoice_dates", "invalid_quantities", "invalid_prices", "invalid_categories")
 CUSTOMER_COUNTERS = (
     "rows_in",
     "invalid_genders",
@@ -99,86 +102,53 @@ def _sales_flagged(df: DataFrame, c: SalesColumns, date_mode: str) -> DataFrame:
 
 
 def _report(
-    flagged: DataFrame,
-    keys: list[str],
-    row_counters: list[str],
-    kept_columns: list[str],
-    valid_of,
-    invalid_name: str,
+    flagged: DataFrame, keys: list[str], row_counters: tuple[str, ...], valid: Column, invalid_name: str
 ) -> tuple[DataFrame, dict[str, Column]]:
-    """Per-key partial aggregate, then one global row.
-
-    ``valid_of(get)`` builds the row filter from a column getter that reads
-    key columns directly and other columns from the kept row.
-    """
-    per_key_aggs = [F.count(F.lit(1)).alias(_N)]
-    per_key_aggs += [F.count_if(F.col(_flag(k))).alias(_flag(k)) for k in row_counters]
-    if kept_columns:
-        per_key_aggs.append(F.min(F.struct(*[col(n) for n in kept_columns])).alias(_KEPT))
-    per_key = flagged.groupBy(*[col(k) for k in keys]).agg(*per_key_aggs)
-
-    def get(name: str) -> Column:
-        return col(name) if name in keys else F.col(_KEPT).getField(name)
-
-    valid = F.coalesce(valid_of(get), F.lit(False))
+    """Per-key counts, then one global row. ``valid`` judges a key from its
+    columns and its counts."""
+    per_key = flagged.groupBy(*[col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias(_N), *[F.count_if(F.col(_flag(k))).alias(_flag(k)) for k in row_counters]
+    )
+    valid = F.coalesce(valid, F.lit(False))
     rows_in = F.coalesce(F.sum(_N), F.lit(0)).cast("bigint")
-    aggs = {
+    aggs = {k: F.coalesce(F.sum(_flag(k)), F.lit(0)).cast("bigint") for k in row_counters}
+    aggs |= {
         "rows_in": rows_in,
         "duplicates_removed": rows_in - F.count(F.lit(1)),
         invalid_name: F.count_if(~valid),
         "rows_out": F.count_if(valid),
     }
-    for k in row_counters:
-        aggs[k] = F.coalesce(F.sum(_flag(k)), F.lit(0)).cast("bigint")
     return per_key, aggs
 
 
-def customer_quality(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+def customer_quality(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     """One row: rows_in, invalid_genders, invalid_ages, duplicates_removed,
     invalid_customers, rows_out (all BIGINT)."""
     c = columns or CustomerColumns()
-    flagged = _customer_flagged(df, c)
-    # The customer filter reads only the key, so no kept row is needed.
     per_key, aggs = _report(
-        flagged,
-        c.key_columns(),
-        ["invalid_genders", "invalid_ages"],
-        [],
-        lambda get: customer_valid(get(c.customer_id)),
-        "invalid_customers",
+        _customer_flagged(df, c), c.having(KEY), CUSTOMER_ROW_COUNTERS, customer_valid(col(c.customer_id)), "invalid_customers"
     )
     return per_key.agg(*[aggs[k].alias(k) for k in CUSTOMER_COUNTERS])
 
 
 def sales_quality(
-    df: DataFrame, columns: SalesColumns | None = None, date_mode: str = "parse_first"
+    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first"
 ) -> DataFrame:
     """One row: rows_in, duplicates_removed, null_invoice_dates,
     invalid_quantities, invalid_prices, invalid_categories, invalid_sales,
     rows_out (all BIGINT)."""
     c = columns or SalesColumns()
-    flagged = _sales_flagged(df, c, date_mode)
-    keys = c.key_columns()
-    order = [f.name for f in c.schema().fields if f.name not in keys]
-    # The filter reads customer_id, quantity and price of the kept row. Columns
-    # after the last of them in the dedup order only break ties among rows that
-    # agree on all of them, so the kept values are fixed by this prefix.
-    needed = {c.customer_id, c.quantity, c.price}
-    kept = order[: max(order.index(n) for n in needed) + 1]
-    per_key, aggs = _report(
-        flagged,
-        keys,
-        ["null_invoice_dates", "invalid_quantities", "invalid_prices", "invalid_categories"],
-        kept,
-        lambda get: sale_valid(c, row=get),
-        "invalid_sales",
-    )
+    flagged = _sales_flagged(df, c, date_mode).withColumn(_flag(_NO_CUSTOMER), is_missing_string(col(c.customer_id)))
+    valid = ~is_missing_string(col(c.invoice_no)) & (F.col(_flag(_NO_CUSTOMER)) == 0)
+    per_key, aggs = _report(flagged, c.having(KEY), (*SALES_ROW_COUNTERS, _NO_CUSTOMER), valid, "invalid_sales")
     return per_key.agg(*[aggs[k].alias(k) for k in SALES_COUNTERS])
 
 
 @dataclass
 class PipelineObservations:
-    """Counters filled by the first action on the observed pipeline."""
+    """Counters filled by the first action on the observed pipeline. Rows are
+    counted between dedup and filter, so rows without a key cross the shuffle
+    (one per key and map task)."""
 
     before: Observation
     deduped: Observation
@@ -195,7 +165,7 @@ class PipelineObservations:
 
 
 def _observe_flow(
-    flagged: DataFrame, keys: list[str], counters: list[str], finish, invalid_name: str
+    flagged: DataFrame, keys: list[str], counters: tuple[str, ...], finish, invalid_name: str
 ) -> tuple[DataFrame, PipelineObservations]:
     before, deduped, out = Observation(), Observation(), Observation()
     metrics = [F.count(F.lit(1)).alias("rows_in")]
@@ -207,26 +177,26 @@ def _observe_flow(
 
 
 def observed_customer_pipeline(
-    df: DataFrame, columns: CustomerColumns | None = None
+    df: DataFrame, columns: Entity | None = None
 ) -> tuple[DataFrame, PipelineObservations]:
     c = columns or CustomerColumns()
     return _observe_flow(
         _customer_flagged(df, c),
-        c.key_columns(),
-        ["invalid_genders", "invalid_ages"],
+        c.having(KEY),
+        CUSTOMER_ROW_COUNTERS,
         lambda x: validate_customers(x, c.customer_id),
         "invalid_customers",
     )
 
 
 def observed_sales_pipeline(
-    df: DataFrame, columns: SalesColumns | None = None, date_mode: str = "parse_first"
+    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first"
 ) -> tuple[DataFrame, PipelineObservations]:
     c = columns or SalesColumns()
     return _observe_flow(
         _sales_flagged(df, c, date_mode),
-        c.key_columns(),
-        ["null_invoice_dates", "invalid_quantities", "invalid_prices", "invalid_categories"],
+        c.having(KEY),
+        SALES_ROW_COUNTERS,
         lambda x: validate_sales(x, c),
         "invalid_sales",
     )
