@@ -2,7 +2,7 @@
 the source flow (extractors, processors, loader).
 
 Each method delegates to the Spark-first functions of this package; nothing
-here adds logic. Differences: the loader's format defaults to Parquet
+here adds logic. Fixed values: class, method and parameter names. Differences: the loader's format defaults to Parquet
 (``fmt="delta"`` where the Delta jar is installed), ``process`` is lazy (no
 counting actions), and a kept duplicate is deterministic.
 """
@@ -10,16 +10,17 @@ counting actions), and a kept duplicate is deterministic.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import Any
+from dataclasses import asdict
+from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from argent import schemas
 from argent.operators import customers as cust
 from argent.operators import sales as sal
 from argent.operators.stages import conform, dedup, fill_missing, trim_strings
 from argent.plans.pipelines import customer_pipeline, sales_pipeline
-from argent.schemas import CustomerColumns, SalesColumns
 from argent.sinks.writers import write_path, write_table
 from argent.sources.scans import (
     read_csv,
@@ -29,6 +30,42 @@ from argent.sources.scans import (
 )
 
 
+class IBaseExtractor(Protocol):
+    def extract(self, file_path: str) -> DataFrame: ...
+
+
+class IBaseProcessor(Protocol):
+    def process(self, df: DataFrame) -> DataFrame: ...
+
+
+class IBaseLoader(Protocol):
+    def load(self, df: DataFrame, destination: str) -> None: ...
+
+
+class _RoleNames:
+    """The declared roles under the names that callers use."""
+
+    def to_dict(self) -> dict[str, str]:
+        return asdict(self)
+
+    def get_string_columns(self) -> list[str]:
+        return self.having(schemas.TEXT)
+
+    def get_numeric_columns(self) -> list[str]:
+        return self.having(schemas.NUMBER)
+
+    def get_duplicate_key_columns(self) -> list[str]:
+        return self.having(schemas.KEY)
+
+
+class CustomerColumns(_RoleNames, schemas.CustomerColumns):
+    pass
+
+
+class SalesColumns(_RoleNames, schemas.SalesColumns):
+    pass
+
+
 class CSVExtractor:
     def __init__(
         self,
@@ -100,7 +137,7 @@ class BaseProcessor:
 
 
 class CustomerProcessor(BaseProcessor):
-    def __init__(self, columns: CustomerColumns | None = None):
+    def __init__(self, columns: schemas.Entity | None = None):
         self.columns = columns or CustomerColumns()
         super().__init__(self.columns.schema())
 
@@ -121,7 +158,7 @@ class CustomerProcessor(BaseProcessor):
 
 
 class SalesProcessor(BaseProcessor):
-    def __init__(self, columns: SalesColumns | None = None, date_mode: str = "parse_first"):
+    def __init__(self, columns: schemas.Entity | None = None, date_mode: str = "parse_first"):
         self.columns = columns or SalesColumns()
         self.date_mode = date_mode
         super().__init__(self.columns.schema())

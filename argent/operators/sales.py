@@ -3,19 +3,23 @@ filter."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from argent.functions.exprs import (
     INVOICE_DATE_FORMAT,
+    is_missing_string,
     parse_date,
     replace_where,
     standardise,
     strip_special,
 )
 from argent.operators.stages import col
-from argent.schemas import SalesColumns
+from argent.schemas import REQUIRED, TEXT, Entity, SalesColumns
 
 # Fixed values (must match the source rules exactly).
 CATEGORIES = [
@@ -35,10 +39,11 @@ def parse_invoice_date(
     df: DataFrame,
     column: str = "invoice_date",
     fmt: str = INVOICE_DATE_FORMAT,
-    iso_fallback: bool = True,
+    iso_fallback: bool = False,
 ) -> DataFrame:
-    """Text dates in ``fmt`` -> DATE (NULL when unparseable). A DATE column
-    is left as is; a timestamp keeps its date part."""
+    """Text dates in ``fmt`` -> DATE (NULL when unparseable, ISO dates
+    included unless ``iso_fallback``). A DATE column is left as is; a timestamp
+    keeps its date part."""
     dtype = df.schema[column].dataType
     c = col(column)
     if isinstance(dtype, T.DateType):
@@ -61,7 +66,7 @@ def price_invalid(c: Column) -> Column:
     return c < F.lit(0)
 
 
-def validate_numeric_fields(df: DataFrame, columns: SalesColumns | None = None) -> DataFrame:
+def validate_numeric_fields(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     """quantity <= 0 -> 1, price < 0 -> 0.0; NULLs stay NULL."""
     cols = columns or SalesColumns()
     q, p = col(cols.quantity), col(cols.price)
@@ -85,22 +90,16 @@ def clean_mall_names(df: DataFrame, column: str = "shopping_mall") -> DataFrame:
     return df.withColumn(column, strip_special(col(column)))
 
 
-def sale_valid(columns: SalesColumns | None = None, row=None) -> Column:
-    """Invoice and customer present and non-empty, quantity and price not
-    NULL. ``row`` maps a column name to a Column (defaults to ``col``).
+def sale_valid(columns: Entity | None = None, row=None) -> Column:
+    """Every required column present, text also non-empty. ``row`` maps a column name to a Column (defaults to ``col``).
     Blank ids are not trimmed here: the pipeline trims earlier."""
     cols = columns or SalesColumns()
     get = row or col
-    inv, cust = get(cols.invoice_no), get(cols.customer_id)
-    return (
-        inv.isNotNull()
-        & (inv != F.lit(""))
-        & cust.isNotNull()
-        & (cust != F.lit(""))
-        & get(cols.quantity).isNotNull()
-        & get(cols.price).isNotNull()
+    text = set(cols.having(TEXT))
+    return reduce(
+        and_, (~(is_missing_string(get(n)) if n in text else get(n).isNull()) for n in cols.having(REQUIRED))
     )
 
 
-def validate_sales(df: DataFrame, columns: SalesColumns | None = None) -> DataFrame:
+def validate_sales(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     return df.filter(sale_valid(columns))

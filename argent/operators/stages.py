@@ -24,7 +24,7 @@ from argent.functions.exprs import (
 
 log = logging.getLogger(__name__)
 
-_ROW_NUMBER = "__argent_rn"
+_ROW_NUMBER, _KEPT = "__argent_rn", "__argent_kept"
 
 
 def quote(name: str) -> str:
@@ -37,10 +37,7 @@ def col(name: str) -> Column:
 
 
 def _case_sensitive(df: DataFrame) -> bool:
-    try:
-        return df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
-    except Exception:  # pragma: no cover - conf unavailable
-        return False
+    return df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
 
 
 def _find_field(
@@ -148,40 +145,31 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
-def keep_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    """Default tie-break for ``dedup``: every other column, ascending,
-    NULLS FIRST, in schema order (map columns cannot be ordered and are
-    skipped)."""
-    keyset = set(keys)
-    return [
-        col(f.name).asc_nulls_first()
-        for f in df.schema.fields
-        if f.name not in keyset and _orderable(f.dataType)
-    ]
-
-
-def _group_limit_enabled(df: DataFrame) -> bool:
-    try:
-        conf = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-        return int(conf) >= 1
-    except Exception:
-        return True
-
-
-def _dedup_by_aggregate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Same result as the window form with the default order: the kept row is
-    the ``min`` of a struct of the other columns (struct order is field by
-    field, ascending, NULLS FIRST). Partial aggregation runs before the
-    shuffle whatever the optimizer settings."""
-    keyset = set(keys)
-    rest = [f.name for f in df.schema.fields if f.name not in keyset]
-    kept = "__argent_kept"
-    agg = df.groupBy(*[col(k) for k in keys]).agg(
-        F.min(F.struct(*[col(n) for n in rest])).alias(kept)
-    )
-    return agg.select(
-        *[col(f.name) if f.name in keyset else F.col(kept).getField(f.name).alias(f.name)
-          for f in df.schema.fields]
+def _comparable(field: T.StructField) -> Column:
+    """A column's place in the default order: itself, or a map's entries
+    sorted by key."""
+    c, dtype = col(field.name), field.dataType
+    if _orderable(dtype):
+        return c
+    if isinstance(dtype, T.MapType) and _orderable(dtype.keyType) and _orderable(dtype.valueType):
+        return F.array_sort(F.map_entries(c))
+    raise ProcessingError(f"Column {field.name!r} cannot be ordered: {dtype.simpleString()}")
+
+
+def _first_of_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The smallest row of each key, compared field by field, ascending, NULLS
+    FIRST. An aggregate, so rows of a key combine before the shuffle."""
+    rest = [f for f in df.schema.fields if f.name not in set(keys)]
+    if not rest:
+        return df.dropDuplicates(list(keys))
+    row = F.struct(*[col(f.name) for f in rest])
+    if all(_orderable(f.dataType) for f in rest):
+        least = F.min(row)
+    else:
+        least = F.min_by(row, F.struct(*[_comparable(f) for f in rest]))
+    kept = df.groupBy(*[col(k) for k in keys]).agg(least.alias(_KEPT))
+    return kept.select(
+        *[col(n) if n in set(keys) else F.col(_KEPT).getField(n).alias(n) for n in df.columns]
     )
 
 
@@ -192,27 +180,21 @@ def dedup(
 ) -> DataFrame:
     """One row per key; whole-row distinct when ``keys`` is None.
 
-    The kept row is the first by ``order_by`` (default: :func:`keep_order`),
-    so results are deterministic. NULL keys form one group. ``row_number() = 1``
-    plans as WindowGroupLimit Partial -> Exchange -> Final: each map task
-    forwards at most one row per key, so a key holding a third of the table
-    still ships only one row per map partition through the shuffle. If that
-    optimizer rule is switched off, the default order is computed as an
-    aggregate instead, which combines on the map side as well.
+    The kept row is the smallest by its other columns, in schema order,
+    ascending, NULLS FIRST (map columns by their sorted entries), so results are
+    deterministic; a column that has no order at all raises. It is an
+    aggregate: a key holding a third of the table ships one row per map
+    partition through the shuffle. With ``order_by`` the first row in that
+    order is kept, by a window. NULL keys form one group.
     """
     if not keys:
         return df.dropDuplicates()
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ProcessingError(f"Dedup key columns not found: {', '.join(missing)}")
-    order = list(order_by) if order_by is not None else keep_order(df, keys)
-    if not order:
-        # Only key columns: a plain distinct on them (hash aggregate).
-        return df.dropDuplicates(list(keys))
-    all_orderable = all(_orderable(f.dataType) for f in df.schema.fields)
-    if order_by is None and all_orderable and not _group_limit_enabled(df):
-        return _dedup_by_aggregate(df, keys)
-    w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order)
+    if order_by is None:
+        return _first_of_each(df, keys)
+    w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order_by)
     return (
         df.withColumn(_ROW_NUMBER, F.row_number().over(w))
         .filter(F.col(_ROW_NUMBER) == 1)

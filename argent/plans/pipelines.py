@@ -20,40 +20,40 @@ from argent.operators.sales import (
     validate_sales,
 )
 from argent.operators.stages import conform, dedup, fill_missing, trim_strings
-from argent.schemas import CustomerColumns, SalesColumns
+from argent.schemas import FILLED, KEY, NUMBER, TEXT, CustomerColumns, Entity, SalesColumns
 
 DATE_MODES = ("parse_first", "cast_first")
 
 
-def customer_prepare(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+def customer_prepare(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     """conform -> trim -> fill: the frame the customer rules start from."""
     c = columns or CustomerColumns()
     out = conform(df, c.schema())
-    out = trim_strings(out, c.string_columns())
+    out = trim_strings(out, c.having(TEXT))
     return fill_missing(
         out,
-        string_columns=[c.gender, c.payment_method],
-        numeric_columns=c.numeric_columns(),
+        string_columns=c.having(FILLED),
+        numeric_columns=c.having(NUMBER),
         default_numeric=0,
     )
 
 
-def customer_rules(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+def customer_rules(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     c = columns or CustomerColumns()
     return validate_age(clean_gender(df, c.gender), c.age)
 
 
-def customer_clean(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+def customer_clean(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     """Row-wise part of the customer flow (everything before the dedup)."""
     c = columns or CustomerColumns()
     return customer_rules(customer_prepare(df, c), c)
 
 
-def customer_pipeline(df: DataFrame, columns: CustomerColumns | None = None) -> DataFrame:
+def customer_pipeline(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     """conform -> trim -> fill -> gender -> age -> dedup(customer_id) -> filter."""
     c = columns or CustomerColumns()
     try:
-        out = dedup(customer_clean(df, c), c.key_columns())
+        out = dedup(customer_clean(df, c), c.having(KEY))
         return validate_customers(out, c.customer_id)
     except ProcessingError:
         raise
@@ -71,21 +71,21 @@ def _sales_conform(df: DataFrame, c: SalesColumns, date_mode: str) -> DataFrame:
 
 
 def sales_prepare(
-    df: DataFrame, columns: SalesColumns | None = None, date_mode: str = "parse_first"
+    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first"
 ) -> DataFrame:
     """conform -> trim -> fill: the frame the sales rules start from."""
     c = columns or SalesColumns()
     out = _sales_conform(df, c, date_mode)
-    out = trim_strings(out, c.string_columns())
+    out = trim_strings(out, c.having(TEXT))
     return fill_missing(
         out,
-        string_columns=[c.category, c.shopping_mall],
-        numeric_columns=c.numeric_columns(),
+        string_columns=c.having(FILLED),
+        numeric_columns=c.having(NUMBER),
         default_numeric=0.0,
     )
 
 
-def sales_rules(df: DataFrame, columns: SalesColumns | None = None) -> DataFrame:
+def sales_rules(df: DataFrame, columns: Entity | None = None) -> DataFrame:
     c = columns or SalesColumns()
     out = parse_invoice_date(df, c.invoice_date)
     out = validate_numeric_fields(out, c)
@@ -94,7 +94,7 @@ def sales_rules(df: DataFrame, columns: SalesColumns | None = None) -> DataFrame
 
 
 def sales_clean(
-    df: DataFrame, columns: SalesColumns | None = None, date_mode: str = "parse_first"
+    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first"
 ) -> DataFrame:
     """Row-wise part of the sales flow (everything before the dedup)."""
     c = columns or SalesColumns()
@@ -102,14 +102,14 @@ def sales_clean(
 
 
 def sales_pipeline(
-    df: DataFrame, columns: SalesColumns | None = None, date_mode: str = "parse_first"
+    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first"
 ) -> DataFrame:
     """conform -> trim -> fill -> date -> quantity/price -> category -> mall ->
     dedup(invoice_no) -> filter. ``quantity`` leaves as DOUBLE (its fill
     default is 0.0)."""
     c = columns or SalesColumns()
     try:
-        out = dedup(sales_clean(df, c, date_mode), c.key_columns())
+        out = dedup(sales_clean(df, c, date_mode), c.having(KEY))
         return validate_sales(out, c)
     except ProcessingError:
         raise

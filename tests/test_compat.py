@@ -33,7 +33,7 @@ def test_flow_through_compatible_classes(spark, workdir):
 def test_single_rule_methods(spark):
     proc = SalesProcessor()
     df = proc.apply_schema(bronze_sales(spark, SF_SMALL))
-    df = proc.trim_string_columns(df, proc.columns.string_columns())
+    df = proc.trim_string_columns(df, proc.columns.get_string_columns())
     df = proc.handle_missing_values(df, ["category"], ["quantity", "price"])
     df = proc.clean_shopping_mall_names(proc.clean_category(proc.validate_numeric_fields(df)))
     df = proc.validate_sales_data(proc.remove_duplicates(proc.process_invoice_date(df), ["invoice_no"]))
@@ -59,3 +59,25 @@ def test_loader_table_and_unavailable_delta(spark, workdir):
     # The Delta jar is not installed here: the loader fails before any work.
     with pytest.raises(LoadingError, match="not available"):
         DeltaLoader(spark, fmt="delta").load(df, f"{workdir}/delta_out")
+
+
+def test_role_names_and_protocols(spark):
+    from argent import compat
+
+    c, s = compat.CustomerProcessor().columns, compat.SalesProcessor().columns
+    assert c.get_duplicate_key_columns() == ["customer_id"] and s.get_duplicate_key_columns() == ["invoice_no"]
+    assert c.get_string_columns() == ["customer_id", "gender", "payment_method"] and c.get_numeric_columns() == ["age"]
+    assert s.get_string_columns() == ["invoice_no", "customer_id", "category", "shopping_mall"]
+    assert s.get_numeric_columns() == ["quantity", "price"]
+    assert compat.CustomerColumns(age="years").to_dict() == {
+        "customer_id": "customer_id", "gender": "gender", "age": "years", "payment_method": "payment_method"
+    }
+
+    class Own:  # a class of one's own fits by its methods
+        def process(self, df):
+            return df
+
+    step: compat.IBaseProcessor = Own()
+    assert step.process(spark.range(1)).count() == 1
+    for proto, method in ((compat.IBaseExtractor, "extract"), (compat.IBaseLoader, "load")):
+        assert hasattr(proto, method)
