@@ -31,16 +31,18 @@ def _int_from_text(x: str) -> str:
     )
 
 
-def _date_from_text(x: str, parse_first: bool = True) -> str:
-    cast = f"TRY_CAST({x} AS DATE)"
-    if not parse_first:
-        return cast
+def _strict_date(x: str) -> str:
     return (
-        rf"coalesce(CASE WHEN regexp_full_match({x}, '\d{{2}}-\d{{2}}-\d{{4}}') "
-        rf"THEN CAST(try_strptime({x}, '%d-%m-%Y') AS DATE) END, {cast})"
+        rf"CASE WHEN regexp_full_match({x}, '\d{{2}}-\d{{2}}-\d{{4}}') "
+        rf"THEN CAST(try_strptime({x}, '%d-%m-%Y') AS DATE) END"
     )
 
 
+def _date_from_text(x: str, parse_first: bool = True) -> str:
+    cast = f"TRY_CAST({x} AS DATE)"
+    return f"coalesce({_strict_date(x)}, {cast})" if parse_first else cast
+
+
 def _std(x: str, values: str) -> str:
     return f"CASE WHEN upper(trim({x})) IN ({values}) THEN upper(trim({x})) ELSE 'Other' END"
 
@@ -161,6 +163,10 @@ SELECT
   (SELECT count(*) FILTER (WHERE {SALES_VALID}) FROM deduped) AS rows_out"""
 
 
+def sales_pipeline_observed() -> str:
+    return sales_pipeline()
+
+
 # --- single rules ----------------------------------------------------------
 
 def _with(cte: str, select: str) -> str:
@@ -226,7 +232,7 @@ def customer_age() -> str:
 
 
 def customer_names() -> str:
-    return f"SELECT c_custkey, {_strip('c_name')} AS c_name FROM customer"
+    return f"SELECT * REPLACE ({_strip('c_name')} AS c_name) FROM customer"
 
 
 def customer_validate() -> str:
@@ -235,7 +241,7 @@ def customer_validate() -> str:
 
 def sales_invoice_date() -> str:
     return (f"SELECT invoice_no, customer_id, category, quantity, price, "
-            f"{_date_from_text('invoice_date')} AS invoice_date, shopping_mall "
+            f"{_strict_date('invoice_date')} AS invoice_date, shopping_mall "
             f"FROM ({bronze_sales_sql()}) b")
 
 
@@ -336,10 +342,8 @@ def parquet_scan_schema() -> str:
 
 
 def parquet_scan_merge_schema() -> str:
-    return ("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice, "
-            "CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders UNION ALL "
-            "SELECT o_orderkey, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), o_totalprice, "
-            "o_orderpriority FROM orders")
+    return ("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders UNION ALL BY NAME "
+            "SELECT * EXCLUDE (o_custkey, o_orderstatus) FROM orders")
 
 
 def nested_scan() -> str:
@@ -353,14 +357,18 @@ def nested_map_scan() -> str:
 
 
 def timestamp_parse() -> str:
-    return ("SELECT event_id, ts_text, strptime(ts_text, '%Y-%m-%d %H:%M:%S') AS parsed FROM "
-            "(SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events) e")
+    return ("SELECT *, strptime(ts_text, '%Y-%m-%d %H:%M:%S') AS parsed FROM "
+            "(SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events) e")
 
 
 def validated_scan() -> str:
     return "SELECT * FROM customer"
 
 
+def csv_validated_scan() -> str:
+    return "SELECT * FROM customer"
+
+
 # --- sinks -----------------------------------------------------------------
 
 def sink_path() -> str:
@@ -382,6 +390,15 @@ def sink_table() -> str:
 
 def bronze_to_silver() -> str:
     # Sales are staged as CSV, where '' reads back as NULL; neither survives
-    # the id filter, so the silver counts equal the pipelines' counts.
-    return (f"SELECT 'customers' AS silver_table, count(*) AS row_count FROM ({customer_pipeline()}) c "
-            f"UNION ALL SELECT 'sales', count(*) FROM ({sales_pipeline()}) s")
+    # the id filter, and both are filled or standardised alike elsewhere.
+    return (f"SELECT 'customers' AS silver_table, * FROM ({customer_pipeline()}) c "
+            f"UNION ALL BY NAME SELECT 'sales' AS silver_table, * FROM ({sales_pipeline()}) s")
+
+
+def bronze_to_silver_counters() -> str:
+    staged = _nullif_all(_SALES_TEXT_COLS, bronze_sales_sql())  # as CSV gives it back
+    reports = {"customers": customer_quality(), "sales": sales_quality().replace(bronze_sales_sql(), staged)}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS silver_table, counter, value FROM (UNPIVOT ({report}) ON COLUMNS(*) INTO NAME counter VALUE value) u"
+        for name, report in reports.items()
+    )

@@ -21,12 +21,12 @@ from argent.plans import oracle
 from argent.plans.bronze import bronze_customers, bronze_sales, table
 from argent.plans.job import bronze_to_silver
 from argent.plans.pipelines import customer_pipeline, sales_pipeline
-from argent.plans.quality import customer_quality, sales_quality
+from argent.plans.quality import customer_quality, observed_sales_pipeline, sales_quality
 from argent.plans.staging import stage_csv, stage_parquet, stage_text
-from argent.schemas import CustomerColumns, SalesColumns
+from argent.schemas import KEY, NUMBER, CustomerColumns, SalesColumns
 from argent.session import scratch_path, shared_dir
 from argent.sinks.writers import write_path, write_table
-from argent.sources.scans import read_csv, read_parquet, read_parquet_validated
+from argent.sources.scans import read_csv, read_csv_validated, read_parquet, read_parquet_validated
 
 CC, SC = CustomerColumns(), SalesColumns()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,10 +122,9 @@ def q_parquet_scan_schema(s: SparkSession, d: str) -> DataFrame:
 def q_parquet_scan_merge_schema(s: SparkSession, d: str) -> DataFrame:
     orders = table(s, d, "orders")
     root = scratch_path(s, "orders-two-dirs")
-    stage_parquet(orders.select("o_orderkey", "o_custkey", "o_orderstatus"), "a", f"{root}/a")
-    stage_parquet(
-        orders.select("o_orderkey", "o_totalprice", "o_orderpriority"), "b", f"{root}/b/nested"
-    )
+    half = ["o_custkey", "o_orderstatus"]
+    stage_parquet(orders.select("o_orderkey", *half), "a", f"{root}/a")
+    stage_parquet(orders.drop(*half), "b", f"{root}/b/nested")
     return read_parquet(
         s, root, options={"mergeSchema": "true", "recursiveFileLookup": "true"}
     )
@@ -164,9 +163,7 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def q_timestamp_parse(s: SparkSession, d: str) -> DataFrame:
-    ev = read_parquet(s, f"{d}/events.parquet").select(
-        "event_id", F.date_format("ts", TS_FORMAT).alias("ts_text")
-    )
+    ev = read_parquet(s, f"{d}/events.parquet").withColumn("ts_text", F.date_format("ts", TS_FORMAT))
     # Wall-clock parse (no session time zone involved), like the input column.
     return ev.withColumn("parsed", F.to_timestamp_ntz("ts_text", F.lit(TS_FORMAT)))
 
@@ -177,11 +174,17 @@ def q_validated_scan(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_csv_validated_scan(s: SparkSession, d: str) -> DataFrame:
+    customers = table(s, d, "customer")
+    path = stage_csv(customers, "customer-csv")
+    return read_csv_validated(s, path, ["c_custkey", "c_name", "c_acctbal"], min_rows=100, schema=customers.schema)
+
+
 # --- sinks -----------------------------------------------------------------
 
 def q_sink_path(s: SparkSession, d: str) -> DataFrame:
     dest = scratch_path(s, "silver-sales")
-    write_path(_silver_sales(s, d), dest)
+    write_path(_silver_sales(s, d), dest, options={"compression": "gzip"})
     return s.read.parquet(dest)
 
 
@@ -196,7 +199,7 @@ def q_sink_append(s: SparkSession, d: str) -> DataFrame:
 def q_sink_ignore(s: SparkSession, d: str) -> DataFrame:
     dest = scratch_path(s, "silver-customers-ignore")
     silver = _silver_customers(s, d)
-    write_path(silver, dest, mode="overwrite")
+    write_path(silver, dest, mode="errorifexists")
     write_path(silver, dest, mode="ignore")
     return s.read.parquet(dest)
 
@@ -215,14 +218,21 @@ def q_sink_table(s: SparkSession, d: str) -> DataFrame:
 def q_bronze_to_silver(s: SparkSession, d: str) -> DataFrame:
     customer_src = stage_parquet(bronze_customers(s, d), "bronze-customers-parquet")
     sales_src = stage_csv(bronze_sales(s, d), "bronze-sales-csv")
-    out = scratch_path(s, "silver")
-    paths = bronze_to_silver(s, customer_src, sales_src, out)
-    counts = [
-        s.read.parquet(p).select(F.lit(label).alias("silver_table"))
-        for label, p in (("customers", paths.customers), ("sales", paths.sales))
-    ]
-    both = counts[0].unionByName(counts[1])
-    return both.groupBy("silver_table").agg(F.count(F.lit(1)).alias("row_count"))
+    done = bronze_to_silver(s, customer_src, sales_src, scratch_path(s, "silver"))
+    customers, sales = s.read.parquet(done.customers), s.read.parquet(done.sales)
+    return customers.withColumn("silver_table", F.lit("customers")).unionByName(
+        sales.withColumn("silver_table", F.lit("sales")), allowMissingColumns=True
+    )
+
+
+def q_job_counters(s: SparkSession, d: str) -> DataFrame:
+    """The counters that the whole job gathers while it writes."""
+    customer_src = stage_parquet(bronze_customers(s, d), "bronze-customers-parquet")
+    sales_src = stage_csv(bronze_sales(s, d), "bronze-sales-csv")
+    done = bronze_to_silver(s, customer_src, sales_src, scratch_path(s, "silver"))
+    rows = [("customers", k, v) for k, v in done.customer_quality.items()]
+    rows += [("sales", k, v) for k, v in done.sales_quality.items()]
+    return s.createDataFrame(rows, "silver_table string, counter string, value bigint")
 
 
 # --- registry --------------------------------------------------------------
@@ -231,6 +241,7 @@ QUERIES: dict[str, Query] = {
     # pipelines and quality reports
     "customer_pipeline": _silver_customers,
     "sales_pipeline": _silver_sales,
+    "sales_pipeline_observed": lambda s, d: observed_sales_pipeline(bronze_sales(s, d))[0],
     "customer_quality": lambda s, d: customer_quality(bronze_customers(s, d)),
     "sales_quality": lambda s, d: sales_quality(bronze_sales(s, d)),
     # shared stages
@@ -241,15 +252,15 @@ QUERIES: dict[str, Query] = {
         bronze_sales(s, d), string_columns=[SC.category, SC.shopping_mall]
     ),
     "fill_missing_numerics": lambda s, d: fill_missing(
-        _conformed_sales(s, d), numeric_columns=SC.numeric_columns(), default_numeric=0.0
+        _conformed_sales(s, d), numeric_columns=SC.having(NUMBER), default_numeric=0.0
     ),
-    "dedup_by_key": lambda s, d: dedup(trim_strings(bronze_sales(s, d)), SC.key_columns()),
+    "dedup_by_key": lambda s, d: dedup(trim_strings(bronze_sales(s, d)), SC.having(KEY)),
     "dedup_rows": lambda s, d: dedup(trim_strings(bronze_sales(s, d))),
     # customer rules
     "customer_gender": lambda s, d: cust.clean_gender(_conformed_customers(s, d), CC.gender),
     "customer_age": lambda s, d: cust.validate_age(_conformed_customers(s, d), CC.age),
     "customer_names": lambda s, d: cust.clean_names(
-        table(s, d, "customer").select("c_custkey", "c_name"), ["c_name"]
+        table(s, d, "customer"), ["c_name"]
     ),
     "customer_validate": lambda s, d: cust.validate_customers(
         _conformed_customers(s, d), CC.customer_id
@@ -278,12 +289,14 @@ QUERIES: dict[str, Query] = {
     "nested_map_scan": q_nested_map_scan,
     "timestamp_parse": q_timestamp_parse,
     "validated_scan": q_validated_scan,
+    "csv_validated_scan": q_csv_validated_scan,
     # sinks and the whole job
     "sink_path": q_sink_path,
     "sink_append": q_sink_append,
     "sink_ignore": q_sink_ignore,
     "sink_table": q_sink_table,
     "bronze_to_silver": q_bronze_to_silver,
+    "bronze_to_silver_counters": q_job_counters,
     # test-surface operations
     "agg_total_quantity": lambda s, d: table(s, d, "lineitem").agg(
         F.sum("l_quantity").alias("total_quantity")

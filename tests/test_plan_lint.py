@@ -3,7 +3,7 @@ no broadcast, no cartesian or nested-loop join anywhere in its plan."""
 
 import pytest
 
-import __spark_entry__ as entry
+from argent.plans.registry import QUERIES
 from conftest import SF_SMALL
 
 FORBIDDEN = (
@@ -18,9 +18,9 @@ FORBIDDEN = (
 )
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plan_has_no_slow_or_unbounded_nodes(spark, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     found = [name for name in FORBIDDEN if name in plan]
     assert not found, f"{key}: {found}"

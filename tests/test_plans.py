@@ -2,12 +2,19 @@
 pruned scans, no Python evaluation."""
 
 import re
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from argent.plans.pipelines import customer_pipeline, sales_pipeline
-from argent.plans.quality import sales_quality
+import argent
+from argent.errors import ProcessingError
+from argent.operators.stages import dedup, trim_strings
+from argent.plans.bronze import bronze_sales
+from argent.plans.pipelines import sales_pipeline
+from argent.plans.registry import QUERIES
 from argent.sources.scans import read_parquet
+from conftest import SF_SMALL
 
 
 def _plan(df) -> str:
@@ -24,32 +31,28 @@ def _bronze_sales_file(spark, workdir):
     return p
 
 
-def test_sales_pipeline_single_exchange_with_partial_dedup(spark, workdir):
-    df = sales_pipeline(read_parquet(spark, _bronze_sales_file(spark, workdir)))
-    plan = _plan(df)
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
-    assert "Partial" in plan and "WindowGroupLimit" in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    # The extra column is pruned from the scan.
-    scan = next(line for line in plan.splitlines() if "FileScan" in line)
-    assert "invoice_no" in scan and "extra" not in scan
+def _exchanges(plan: str) -> list[str]:
+    return re.findall(r"(?<!Broadcast)Exchange \w+", plan)
 
 
-def test_customer_pipeline_single_exchange(spark, workdir):
-    p = f"{workdir}/bronze_customers"
-    spark.createDataFrame([("C1", "male", "30", "Cash", "x")],
-                          "customer_id string, gender string, age string, payment_method string, seg string").write.parquet(p)
-    plan = _plan(customer_pipeline(read_parquet(spark, p)))
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
-    assert "WindowGroupLimit" in plan
+def test_registered_pipelines_have_one_exchange(spark):
+    for key in ("sales_pipeline", "customer_pipeline", "sales_pipeline_observed", "dedup_by_key"):
+        plan = _plan(QUERIES[key](spark, SF_SMALL))
+        assert _exchanges(plan) == ["Exchange hashpartitioning"], key
+        assert "partial_min" in plan
+    assert _exchanges(_plan(QUERIES["agg_total_quantity"](spark, SF_SMALL))) == ["Exchange SinglePartition"]
+    for key in ("sales_quality", "customer_quality"):
+        plan = _plan(QUERIES[key](spark, SF_SMALL))
+        # The key shuffle, after partial counts, and the one-row gather.
+        assert sorted(_exchanges(plan)) == ["Exchange SinglePartition", "Exchange hashpartitioning"], key
+        assert "SortAggregate" not in plan and "partial_count" in plan
 
 
-def test_quality_report_single_key_shuffle(spark, workdir):
-    plan = _plan(sales_quality(read_parquet(spark, _bronze_sales_file(spark, workdir))))
-    # One shuffle on the key (with partial aggregation); the final one-row
-    # aggregate gathers one small row per partition.
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
-    assert "partial_count" in plan
+def test_sales_pipeline_prunes_and_stays_in_the_jvm(spark, workdir):
+    plan = _plan(sales_pipeline(read_parquet(spark, _bronze_sales_file(spark, workdir))))
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "invoice_no" in scan and "extra" not in scan
 
 
 def test_filters_reach_the_scan(spark):
@@ -60,31 +63,23 @@ def test_filters_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string,l_linestatus:string>" in plan
 
 
-def test_dedup_without_group_limit_rule_uses_aggregate(spark):
-    from argent.operators.stages import dedup
-    from argent.plans.bronze import bronze_sales
-    from argent.operators.stages import trim_strings
-
-    bronze = trim_strings(bronze_sales(spark, "/root/testdata/sf0.001"))
-    window_form = dedup(bronze, ["invoice_no"])
-    expected = sorted(map(tuple, window_form.collect()), key=repr)
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
-    try:
-        agg_form = dedup(bronze, ["invoice_no"])
-        plan = _plan(agg_form)
-        assert "Window" not in plan and "partial_min" in plan
-        assert agg_form.columns == window_form.columns
-        assert sorted(map(tuple, agg_form.collect()), key=repr) == expected
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
-
-
-def test_spread_only_small_single_split_scans(spark):
-    from argent.sources.scans import spread
-
-    small = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
-    assert spread(small) is not small  # one row group, 8 cores: spread
-    assert spread(small, max_bytes=1024) is small  # above the size bound: left alone
-    many = small.repartition(64)
-    assert spread(many) is many  # enough partitions already
+def test_dedup_equals_a_window_over_the_same_order(spark):
+    bronze = trim_strings(bronze_sales(spark, SF_SMALL))
+    rest = [F.col(c).asc_nulls_first() for c in bronze.columns if c != "invoice_no"]
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(dedup(bronze, ["invoice_no"])) == rows(dedup(bronze, ["invoice_no"], order_by=rest))
+
+
+def test_dedup_orders_maps_and_refuses_what_has_no_order(spark):
+    df = spark.createDataFrame([(1, {"b": 1, "a": 2}), (1, {"a": 1}), (2, None), (2, {"z": 0})], "k int, m map<string,int>")
+    for order in (df, df.repartition(4), df.orderBy(F.desc("k"))):
+        assert {r.k: r.m for r in dedup(order, ["k"]).collect()} == {1: {"a": 1}, 2: None}
+    nested = spark.createDataFrame([(1, [{"a": 1}])], "k int, m array<map<string,int>>")
+    with pytest.raises(ProcessingError, match="cannot be ordered"):
+        dedup(nested, ["k"])
+
+
+def test_no_size_switch_in_the_package():
+    for path in Path(argent.__file__).parent.rglob("*.py"):
+        if "llm" not in path.parts:
+            assert not re.search(r"sizeInBytes|_TAKE_LIMIT|MAX_BYTES|\.persist\(|inputFiles", path.read_text()), path
