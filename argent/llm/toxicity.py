@@ -238,6 +238,21 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def _clean(model: ToxicityModel, position: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            memory = model.gains()
+            score = [model.score(features(t.as_py() or "", memory)) for t in batch.column(position)]
+            yield batch.filter(pa.array([s < 0.5 for s in score], pa.bool_()))
+
+    return run
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """The rows, all columns, whose text is not predicted toxic."""
+    return docs.mapInArrow(_clean(model, docs.columns.index(text_col)), docs.schema)
+
+
 def held_out(column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(5)) == 0
 
