@@ -14,11 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from argent.plans.bronze import bronze_customers, bronze_sales  # noqa: E402
-from argent.plans.pipelines import customer_pipeline, sales_pipeline  # noqa: E402
-from argent.plans.quality import sales_quality  # noqa: E402
-from argent.plans.staging import stage_csv, stage_parquet  # noqa: E402
-from argent.sources.scans import read_csv, read_parquet  # noqa: E402
+from argent.plans.registry import QUERIES  # noqa: E402
 
 
 def main() -> None:
@@ -28,14 +24,7 @@ def main() -> None:
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    # The job's real inputs: customers as Parquet, sales as CSV text.
-    customers_src = stage_parquet(bronze_customers(spark, sf_dir), "plans-customers")
-    sales_src = stage_csv(bronze_sales(spark, sf_dir), "plans-sales")
-    cases = {
-        "sales_pipeline (CSV text in)": sales_pipeline(read_csv(spark, sales_src, infer_schema=False)),
-        "customer_pipeline (Parquet in)": customer_pipeline(read_parquet(spark, customers_src)),
-        "sales_quality (CSV text in)": sales_quality(read_csv(spark, sales_src, infer_schema=False)),
-    }
+    cases = {k: QUERIES[k](spark, sf_dir) for k in ("sales_pipeline", "customer_pipeline", "sales_quality")}
     print(f"# Physical plans\n\nFinal adaptive plans after one run on `{sf_dir}`, "
           "generated by `tools/show_plans.py`.\n")
     for name, df in cases.items():
