@@ -129,12 +129,11 @@ def choose(found: list[tuple[str, float, float]]) -> list[str]:
     return kept
 
 
-def _sampled(labelled: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labelled rows of each class, by hash of doc_id."""
-    each = [
-        labelled.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows) for t in (0, 1)
-    ]
-    return each[0].unionByName(each[1])
+def _sampled(docs: DataFrame, marks: DataFrame, rows: int) -> DataFrame:
+    """The texts of at most ``rows`` labelled rows of each class, by hash of
+    doc_id. What is sent to every task is the doc_ids, bounded by ``rows``."""
+    each = [marks.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for t in (0, 1)]
+    return docs.join(F.broadcast(each[0].unionByName(each[1])), "doc_id").select("text", "toxic")
 
 
 def _feature_rows(model: ToxicityModel):
@@ -162,27 +161,32 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 
 def fit_toxicity(
-    labelled: DataFrame, dictionary_rows: int = DICTIONARY_ROWS, calibration_rows: int = CALIBRATION_ROWS
+    docs: DataFrame, labels: DataFrame, dictionary_rows: int = DICTIONARY_ROWS, calibration_rows: int = CALIBRATION_ROWS
 ) -> ToxicityModel:
-    """Train on (doc_id, text, toxic) rows; other labels than 0 and 1 are
-    ignored. Without rows of both classes the score is the share of toxic ones
-    (0 without any)."""
-    spark = labelled.sparkSession
-    labelled = labelled.filter("toxic IN (0, 1)")
-    counts = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Train on the texts of labelled documents: (doc_id, text) and (doc_id,
+    toxic). Labels other than 0 and 1 and labels without a document are
+    ignored; of conflicting ones the larger counts. Without rows of both
+    classes the score is the share of toxic ones (0 without any)."""
+    spark = docs.sparkSession
+    docs = texts(docs, "doc_id", "text")
+    marks = (
+        labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)")
+        .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(docs.select("doc_id"), "doc_id", "left_semi")
+    )
+    marks = staged(marks, "op7-marks")
+    counts = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
     prior = (n1 + 0.5) / (n0 + n1 + 1) if n1 else 1e-6
     flat = (0.0,) * LEVELS + (math.log(prior / (1 - prior)),)
     if not n0 or not n1:
         return ToxicityModel(b" ", b" ", b" ", flat)
     fold = F.pmod(F.crc32(F.concat(F.lit("fold"), F.col("doc_id").cast("string"))), F.lit(4))
-    first = staged(_sampled(labelled.filter(fold != 0), dictionary_rows), "op7-dictionary")
-    again = _sampled(labelled.filter(fold == 0), calibration_rows)
+    first = staged(_sampled(docs, marks.filter(fold != 0), dictionary_rows), "op7-dictionary")
+    again = _sampled(docs, marks.filter(fold == 0), calibration_rows)
 
     segments = (
-        first.select("text", F.col("toxic").cast("int").alias("toxic"))
-        .withColumn("toxic", F.col("toxic") == 1)
-        .repartition(spark.sparkContext.defaultParallelism, F.xxhash64("text"))
+        first.select("text", (F.col("toxic") == 1).alias("toxic"))
+        .repartition(spark.sparkContext.defaultParallelism)
         .mapInArrow(_segments, "segment string, toxic long, ordinary long")
         .groupBy("segment")
         .agg(F.bit_or("toxic").alias("toxic"), F.bit_or("ordinary").alias("ordinary"))
@@ -205,8 +209,8 @@ def fit_toxicity(
     toxic = b" " + b" ".join(s.encode() for s in reversed(chosen)) + b" "
     model = ToxicityModel(shared, b"\x00" * len(toxic), toxic, flat)
 
-    rows = again.select("text", "toxic").repartition(spark.sparkContext.defaultParallelism, F.xxhash64("text"))
-    rows = rows.mapInArrow(_feature_rows(model), f"f array<double>, toxic {labelled.schema['toxic'].dataType.simpleString()}").collect()
+    rows = again.repartition(spark.sparkContext.defaultParallelism)
+    rows = rows.mapInArrow(_feature_rows(model), "f array<double>, toxic int").collect()
     y = np.array([float(r.toxic) for r in rows])
     if len(set(y)) < 2:
         return model
@@ -257,19 +261,9 @@ def held_out(column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(5)) == 0
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows: one label per doc_id (the larger of conflicting ones),
-    none held out."""
-    marks = (
-        labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(~held_out())
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    )
-    return texts(docs, "doc_id", "text").join(marks, "doc_id")
-
-
 def query_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> ToxicityModel:
-    labels = load(spark, sf_dir, "labels")
-    return fit_toxicity(staged(labelled_rows(docs, labels), "op7-labelled"))
+    """Learned from the labels that are not held out."""
+    return fit_toxicity(docs, load(spark, sf_dir, "labels").filter(~held_out()))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

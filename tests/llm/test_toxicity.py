@@ -31,7 +31,7 @@ def made(spark):
 
 
 def test_finds_unseen_forms_and_leaves_clean_text(spark, made):
-    model = fit_toxicity(made.filter("doc_id < 400"))
+    model = fit_toxicity(made, made.filter("doc_id < 400"))
     got = score_toxicity(made.filter("doc_id >= 400"), model).join(made, "doc_id").collect()
     assert sum(r.predicted == r.toxic for r in got) >= 0.98 * len(got)
     new = spark.createDataFrame([(1, "une GRUKKISSIMO sta grukkor ba Zpaffto do"), (2, "une sta ba do")], "doc_id long, text string")
@@ -39,17 +39,17 @@ def test_finds_unseen_forms_and_leaves_clean_text(spark, made):
 
 
 def test_nulls_ties_empty_and_extra_columns(spark, made):
-    model = fit_toxicity(made)
+    model = fit_toxicity(made, made)
     rows = [(1, None, 9.0), (2, "", 9.0), (None, "x" * 100_000, 9.0), (3, "ba do", 9.0), (3, "ba do", 9.0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, score double")
     got = score_toxicity(df, model).collect()
     assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
     assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
     assert score_toxicity(df.limit(0), model).count() == 0
-    assert fit_toxicity(made.limit(0)).weights[-1] < 0
-    only = fit_toxicity(made.filter("toxic = 1"))
+    assert fit_toxicity(made, made.limit(0)).weights[-1] < 0
+    only = fit_toxicity(made, made.filter("toxic = 1"))
     assert [r.predicted for r in score_toxicity(df.limit(1), only).collect()] == [1]
-    assert isinstance(fit_toxicity(made.withColumn("toxic", F.lit(None).cast("int"))), ToxicityModel)
+    assert isinstance(fit_toxicity(made, made.withColumn("toxic", F.lit(None).cast("int"))), ToxicityModel)
 
 
 def test_windows_cover_the_text():
