@@ -6,10 +6,10 @@ two points bounds the sets' overlap from above.
 
 The points have two resolutions. *Fine* groups form the upper level of the
 index. Sets of similar size go by the same tag (two overlapping tags for each
-size class), and under a tag the fine groups are dealt into one block more than
-two linked sets can have differing shingles. The counts of linked sets then
-agree in a whole block, so equality of one block's counts finds every link;
-these blocks are the index cells. Each cell that holds several sets is searched
+size class), and under a tag the fine groups are dealt into more blocks than two
+linked sets can have differing shingles. The counts of linked sets then agree
+in a whole block, so equality of one block's counts finds every link; these
+blocks are the index cells. Each cell that holds several sets is searched
 with an R-tree over *coarse* groups: rectangles, then points, whose summed
 minima are too small for the threshold are passed over. Surviving pairs are
 verified on the whole sets.
@@ -19,11 +19,14 @@ the smallest set of one of its cells. Later rounds look only at pairs of sets
 in different components, each component's best survivor of a cell; the last
 round takes all survivors that are left, so no link between components is lost.
 Equal sets are one set throughout, and cells larger than ``CHUNK`` sets are dealt
-into pairs of chunks, so no task holds a whole hot cell.
+into pairs of chunks, so no task holds a whole hot cell. Cells with the same
+members are searched once.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +44,8 @@ LEAF = 16  # points in a rectangle of the R-tree
 CHUNK = 2000
 BEST_ROUNDS = 2
 WANTED_BITS = 23
+BROADCAST_PAIRS = 100_000
+MEMORY_WORDS = 250_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -51,7 +56,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class _WordHashes(dict):
+    """word -> hash, with a memory of bounded size."""
+
     def __missing__(self, word: bytes) -> int:
+        if len(self) >= MEMORY_WORDS:
+            self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
 
@@ -82,11 +91,19 @@ class Plan:
     def size_class(self, n: int) -> int:
         return int(np.searchsorted(self.starts, n, side="right")) - 1
 
-    def blocks(self, tag: int) -> int:
-        """Sets of classes tag, and tag and tag + 1, that are linked differ in
-        at most (1 - t) / (1 + t) of their summed sizes."""
-        most = self.starts[tag + 1] - 1 + self.starts[tag + 2] - 1
-        return most * (self.den - self.num) // (self.den + self.num) + 1
+    @functools.cache
+    def blocks(self, tag: int) -> tuple[int, int]:
+        """Linked sets of classes tag, and tag and tag + 1, differ in at most
+        ``most`` = (1 - t) / (1 + t) of their summed sizes, so of ``m`` blocks
+        at least m - most agree. There are some more blocks than needed, so
+        that a set rarely has m - most or more empty ones."""
+        size = self.starts[tag + 1] - 1 + self.starts[tag + 2] - 1
+        most = size * (self.den - self.num) // (self.den + self.num)
+        for m in range(most + 1, 2 * most + 4):
+            empty = m * math.exp(-self.starts[tag] / m)
+            if m - empty - 4 * math.sqrt(empty) > most:
+                return m, most
+        return most + 1, most
 
     def enough(self, both, a, b):
         """Is this overlap of sets of sizes a and b a link?"""
@@ -98,13 +115,17 @@ class Plan:
         fine = _mix((h & np.uint64(0xFFFFF)) + _K[2])  # a random number for each fine group
         out = []
         for tag in (own - 1, own) if own else (own,):
-            m = self.blocks(tag)
+            m, most = self.blocks(tag)
             block = ((h >> np.uint64(20)) % np.uint64(m)).astype(np.int64)
             # A linear hash of the block's counts, summed exactly in two halves.
             low = np.bincount(block, (fine & np.uint64(0xFFFFFFFF)).astype(np.float64), m)
             high = np.bincount(block, (fine >> np.uint64(32)).astype(np.float64), m)
             key = low.astype(np.uint64) * _K[0] + high.astype(np.uint64) * _K[1]
-            out.append(_mix(_mix(key + _mix(np.array([tag + 1], np.uint64))) + np.arange(m, dtype=np.uint64) * _K[3]))
+            key = _mix(_mix(key + _mix(np.array([tag + 1], np.uint64))) + np.arange(m, dtype=np.uint64) * _K[3])
+            full = np.bincount(block, minlength=m) > 0
+            # Empty blocks agree without meaning. Some full one agrees as well
+            # if either set has fewer empty ones than m - most; else both keep all.
+            out.append(key[full] if m - most > m - int(full.sum()) else key)
         return np.concatenate(out)
 
 
@@ -136,18 +157,49 @@ def _cells(plan: Plan, size: int):
     return run
 
 
+def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by cell and set, the members of cells that hold several
+    sets, once each, with the cell's smallest set. Only a cell's first set is
+    held back, so a cell may be of any size."""
+    cell = center = last = None
+    told = False
+    for batch in batches:
+        c, s = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(c):
+            continue
+        new = np.concatenate([[c[0] != cell], c[1:] != c[:-1]])
+        fresh = new | np.concatenate([[s[0] != last], s[1:] != s[:-1]])  # not a copy of the row before
+        start = np.maximum.accumulate(np.where(new, np.arange(len(c)), -1))
+        first = np.where(start >= 0, s[np.maximum(start, 0)], center if center is not None else 0)
+        more = fresh & ~new  # second and later sets of a cell
+        # The first set of a cell is told with the second one.
+        lead = np.flatnonzero(more)
+        lead = lead[np.concatenate([[True], start[lead][1:] != start[lead][:-1]])] if len(lead) else lead
+        if len(lead) and start[lead[0]] < 0 and told:
+            lead = lead[1:]
+        out_c = np.concatenate([c[lead], c[more]])
+        out_s = np.concatenate([first[lead], s[more]])
+        out_m = np.concatenate([first[lead], first[more]])
+        if len(out_c):
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in (out_c, out_s, out_m)], ["cell", "sid", "center"])
+        open_here = start[-1] if start[-1] >= 0 else 0
+        told = bool(more[open_here:].any()) or (start[-1] < 0 and told)
+        cell, center, last = c[-1], first[-1], s[-1]
+
+
 def _sets(words, bits: int, size: int):
-    """The sets whose ids are in the bitmap, once a batch."""
+    """The sets of the rows whose keys are in the bitmap, once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, slots = words.value, 1 << bits
         for batch in batches:
             memory, rows, done = _WordHashes(), [], set()
-            for t in batch.column(0):
-                h = shingles(t.as_py(), memory, size)
+            slot = batch.column(1).to_numpy() % slots
+            wanted = table[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1) == 1
+            for k in np.flatnonzero(wanted).tolist():
+                h = shingles(batch.column(0)[k].as_py(), memory, size)
                 i = _set_id(h)
-                slot = i % slots
-                if len(h) and i not in done and int(table[slot >> 6]) >> (slot & 63) & 1:
+                if len(h) and i not in done:
                     done.add(i)
                     rows.append((i, len(h), counts(h).tobytes(), h.tobytes()))
             columns = list(zip(*rows)) or [[]] * 4
@@ -189,42 +241,76 @@ def survivors(plan: Plan, n: np.ndarray, points: np.ndarray, left: np.ndarray, r
         yield i, inside[ok], bound[ok]
 
 
-def _search(plan: Plan, best: bool):
+def _pairs_of_cell(plan: Plan, best: bool, sid, comp, n, side, points, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one chunk pair of a cell that survive the bounds and lie in
     different components; with ``best`` only the best of each component."""
+    left = np.flatnonzero(side == 0)
+    right = left if same else np.flatnonzero(side == 1)
+    a, b, score = [], [], []
+    if len(left) and len(right):
+        for i, found, bound in survivors(plan, n, points, left, right):
+            keep = (comp[found] != comp[i]) & ((sid[found] > sid[i]) if same else True)
+            a += [i] * int(keep.sum())
+            b += found[keep].tolist()
+            score += bound[keep].tolist()
+    if best and a:
+        seen, kept = set(), []
+        for k in np.lexsort((sid[b], sid[a], -np.array(score))):
+            if comp[a[k]] not in seen or comp[b[k]] not in seen:
+                seen |= {comp[a[k]], comp[b[k]]}
+                kept.append(k)
+        a, b = [a[k] for k in kept], [b[k] for k in kept]
+    if not a:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b])
+
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        sid = table.column("sid").to_numpy()
-        comp, n, side = (table.column(c).to_numpy() for c in ("comp", "n", "side"))
-        points = np.stack([np.frombuffer(x, np.int32) for x in table.column("point").to_pylist()])
-        same = key[1].as_py() == key[2].as_py()
-        left = np.flatnonzero(side == 0)
-        right = left if same else np.flatnonzero(side == 1)
-        a, b, score = [], [], []
-        if len(left) and len(right):
-            for i, found, bound in survivors(plan, n, points, left, right):
-                keep = (comp[found] != comp[i]) & ((sid[found] > sid[i]) if same else True)
-                a += [i] * int(keep.sum())
-                b += found[keep].tolist()
-                score += bound[keep].tolist()
-        if best and a:
-            seen, kept = set(), []
-            for k in np.lexsort((sid[b], sid[a], -np.array(score))):
-                if comp[a[k]] not in seen or comp[b[k]] not in seen:
-                    seen |= {comp[a[k]], comp[b[k]]}
-                    kept.append(k)
-            a, b = [a[k] for k in kept], [b[k] for k in kept]
-        x, y = sid[a] if a else np.empty(0, np.int64), sid[b] if b else np.empty(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
+def _search(plan: Plan, best: bool):
+    """R-tree search of the chunk pairs of cells, whose rows come together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in _with_end(batches):
+            if batch is not None:
+                held.append(pa.Table.from_batches([batch]))
+            table = pa.concat_tables(held) if held else None
+            if table is None or not table.num_rows:
+                continue
+            keys = [table.column(c).to_numpy() for c in ("cell", "i", "j")]
+            change = np.flatnonzero(np.logical_or.reduce([np.diff(k) != 0 for k in keys])) + 1
+            edges = [0, *change.tolist(), table.num_rows]
+            if batch is not None:  # the last cell may go on
+                edges.pop()
+            held = [table.slice(edges[-1])]
+            if len(edges) < 2:
+                continue
+            sid, comp, n, side = (table.column(c).to_numpy() for c in ("sid", "comp", "n", "side"))
+            points = np.frombuffer(b"".join(table.column("point").slice(0, edges[-1]).to_pylist()), np.int32).reshape(edges[-1], -1)
+            out = [
+                _pairs_of_cell(plan, best, sid[a:z], comp[a:z], n[a:z], side[a:z], points[a:z], keys[1][a] == keys[2][a])
+                for a, z in zip(edges, edges[1:])
+            ]
+            x, y = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+            yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     return run
 
 
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """(a, b, linked) of distinct pairs, verified on the whole sets."""
-    with_a = pairs.join(sets.select(F.col("sid").alias("a"), F.col("items").alias("x")), "a")
-    with_b = with_a.join(sets.select(F.col("sid").alias("b"), F.col("items").alias("y")), "b")
-    return with_b.select("a", "b", "x", "y").mapInArrow(_verify(plan), "a long, b long, linked boolean")
+    """(a, b, linked) of distinct pairs, verified on the whole sets. Only the
+    sets of the pairs are shuffled: a list of pairs of up to BROADCAST_PAIRS rows
+    goes to the sets, a longer one is joined like any other table."""
+    pairs = staged(pairs, "op6-pairs")
+    sent = F.broadcast(pairs) if pairs.count() <= BROADCAST_PAIRS else pairs
+    with_a = sets.select(F.col("sid").alias("a"), F.col("items").alias("x")).join(sent, "a")
+    with_b = sets.select(F.col("sid").alias("b"), F.col("items").alias("y")).join(sent, "b")
+    both = with_a.join(with_b, ["a", "b"]).select("a", "b", "x", "y")
+    return both.mapInArrow(_verify(plan), "a long, b long, linked boolean").distinct()
 
 
 def _still_open(members: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
@@ -247,6 +333,18 @@ def _chunk_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def _different_cells(members: DataFrame) -> DataFrame:
+    """Members of one cell of each distinct membership: near copies share most
+    of their cells, and one cell tells as much as its equals. Two independent
+    64-bit hashes, the count, the least and the largest set stand for it."""
+    by = members.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("size"), F.min("sid").alias("low"), F.max("sid").alias("high"),
+        F.bit_xor(F.xxhash64("sid")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("h2"),
+    )
+    one = by.groupBy("size", "low", "high", "h1", "h2").agg(F.min("cell").alias("cell")).select("cell")
+    return staged(members.join(staged(one, "op6-distinct"), "cell", "left_semi"), "op6-cell-members")
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -269,28 +367,33 @@ def jaccard_components(
     id_type = base.schema["doc_id"].dataType.simpleString()
     rows = staged(base.mapInArrow(_cells(plan, shingle), f"doc_id {id_type}, body long, sid long, n long, cells array<long>"), "op6-cells")
 
-    exploded = rows.select("sid", F.explode("cells").alias("cell"))
-    several = exploded.groupBy("cell").agg(F.min("sid").alias("center"), F.max("sid").alias("last")).filter("center <> last")
-    several = staged(several.select("cell", "center"), "op6-several")
-    members = staged(exploded.join(several, "cell").distinct(), "op6-in-cells")
-    wanted = members.select("sid").distinct()
-    table = spark.sparkContext.broadcast(np.array(bitmap(wanted, "sid", WANTED_BITS), np.int64).view(np.uint64))
-    sets = base.select("text").mapInArrow(_sets(table, WANTED_BITS, shingle), "sid long, n long, point binary, items binary")
-    sets = staged(sets.dropDuplicates(["sid"]), "op6-sets")
+    in_order = rows.select(F.explode("cells").alias("cell"), "sid").repartition("cell").sortWithinPartitions("cell", "sid")
+    members = _different_cells(staged(in_order.mapInArrow(_shared_cells, "cell long, sid long, center long"), "op6-shared"))
+    # One row of each set that shares a cell is read again for the whole set.
+    key = F.xxhash64("doc_id", "body")
+    wanted = (
+        rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.min(key).alias("key"))
+        .join(members.select("sid").distinct(), "sid", "left_semi")
+    )
+    table = spark.sparkContext.broadcast(np.array(bitmap(wanted, "key", WANTED_BITS), np.int64).view(np.uint64))
+    sets = base.select("text", key.alias("key")).mapInArrow(_sets(table, WANTED_BITS, shingle), "sid long, n long, point binary, items binary")
+    sets = staged(sets, "op6-sets")
 
     first = members.filter("sid <> center").groupBy("sid").agg(F.min("center").alias("a")).select("a", F.col("sid").alias("b"))
     tried = staged(_linked(first, sets, plan), "op6-links")
     comps = components(tried.filter("linked").select("a", "b"))
     cells = members.select("cell", "sid")
-    for k in range(BEST_ROUNDS + 1):
+    stuck = False
+    for best in (*(True,) * BEST_ROUNDS, False):
+        if best and stuck:  # the best pairs were tried before: on to all of them
+            continue
         comps = staged(comps, "op6-components")
-        pairs = (
-            _chunk_pairs(_still_open(cells, sets, comps)).groupBy("cell", "i", "j")
-            .applyInArrow(_search(plan, k < BEST_ROUNDS), "a long, b long").distinct()
-        )
-        new = staged(_linked(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, plan), "op6-links")
-        if new.isEmpty():
+        together = _chunk_pairs(_still_open(cells, sets, comps)).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "side", "sid")
+        pairs = staged(together.mapInArrow(_search(plan, best), "a long, b long").distinct(), "op6-survivors")
+        if pairs.isEmpty():
             break
+        new = staged(_linked(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, plan), "op6-links")
+        stuck = new.isEmpty()
         tried = tried.unionByName(new)
         if not new.filter("linked").isEmpty():
             comps = components(tried.filter("linked").select("a", "b"))

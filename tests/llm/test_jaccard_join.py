@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from argent.llm import jaccard_join
@@ -53,6 +54,7 @@ def test_query_against_brute_force(spark):
 @pytest.mark.parametrize("size,num,den", [(3, 9, 10), (5, 8, 10)])
 def test_families_against_brute_force(spark, size, num, den, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CHUNK", 7)
+    monkeypatch.setattr(jaccard_join, "BEST_ROUNDS", 1)
     rng = random.Random(size)
     words = [f"w{k}" for k in range(300)]
     rows = []
@@ -72,18 +74,19 @@ def test_families_against_brute_force(spark, size, num, den, monkeypatch):
     assert jaccard_components(df.limit(0)).count() == 0
 
 
-def test_no_link_is_missed_by_cells_or_bounds():
+@pytest.mark.parametrize("num", [8, 9])
+def test_no_link_is_missed_by_cells_or_bounds(num):
     rng = np.random.default_rng(5)
-    plan = Plan(9, 10)
-    for _ in range(400):
+    plan = Plan(num, 10)
+    for _ in range(1500):
         n = int(rng.integers(1, 400))
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        drop, add = rng.integers(0, max(1, n // 12) + 1, 2)
+        drop, add = rng.integers(0, max(1, n // 8) + 1, 2)
         b = np.unique(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**63, add).astype(np.uint64)]))
         if not len(b):
             continue
         both = len(np.intersect1d(a, b))
-        if 10 * both >= 9 * (len(a) + len(b) - both):
+        if 10 * both >= num * (len(a) + len(b) - both):
             assert plan.enough(both, len(a), len(b)) and set(plan.cells(a).tolist()) & set(plan.cells(b).tolist())
             points = np.stack([counts(a), counts(b)])
             got = list(survivors(plan, np.array([len(a), len(b)]), points, np.array([0]), np.array([1])))
@@ -98,3 +101,20 @@ def test_shingles_and_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100, 103: 100, 199: 199, 200: 199}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_cells_that_run_over_batches():
+    rng = random.Random(8)
+    for _ in range(200):
+        rows = sorted((rng.randrange(4), rng.randrange(5)) for _ in range(rng.randint(0, 25)))
+        batches, k = [], 0
+        while k < len(rows):
+            z = k + rng.randint(0, 6)
+            part = rows[k:z]
+            batches.append(pa.record_batch([pa.array([r[c] for r in part], pa.int64()) for c in (0, 1)], ["cell", "sid"]))
+            k = z
+        got = sorted(tuple(r.values()) for b in jaccard_join._shared_cells(iter(batches)) for r in b.to_pylist())
+        cells = {}
+        for c, s in rows:
+            cells.setdefault(c, set()).add(s)
+        assert got == sorted((c, s, min(v)) for c, v in cells.items() if len(v) > 1 for s in v)
