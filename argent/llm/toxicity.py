@@ -38,6 +38,7 @@ TOXIC_SEGMENTS = 2048  # at most so many in the toxic dictionary
 MIN_CONTEXTS = 8  # distinct preceding words that a toxic segment needs
 MIN_LOG_ODDS = 2.5
 SEGMENT_CHARS = range(4, 10)
+MEMORY_WORDS = 250_000  # remembered at a time in a task
 LEVELS = 8  # differences of 1 to 8 bytes are told apart
 # Both dictionaries end with HEAD and every window starts with it, so that a
 # block is always compressible; TAIL keeps the window clear of a block's last
@@ -79,6 +80,8 @@ class ToxicityModel:
 
         class Memory(dict):
             def __missing__(self, word: str) -> int:
+                if len(self) >= MEMORY_WORDS:
+                    self.clear()
                 block = HEAD + b" " + word.encode() + b" " + TAIL
                 self[word] = gain = max(0, len(by_ordinary(block)) - len(by_toxic(block)))
                 return gain
