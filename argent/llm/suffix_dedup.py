@@ -29,21 +29,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from argent.llm.common import load, staged, texts
+from argent.llm.common import load, texts
 
 MIN_BYTES, GRAM = 50, 20
 SPAN = MIN_BYTES - GRAM + 1  # places of the gram in a window
-BUCKET_BYTES = 16_000_000  # of text for each bucket
+BUCKET_BYTES = 12_000_000  # of text for each bucket
+PIECE_BYTES = 8_000_000  # of text worked on at a time
 BLOCK_BYTES = 1_000_000  # of text hashed at a time
+SLICE_WINDOWS = 100_000  # sorted at a time, unless one anchor has more
 NULL_ORDER = np.iinfo(np.int64).max  # a null doc_id comes last
 _TABLE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
 _B = np.uint64(0x9E3779B97F4A7C15)
-_MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
+_HASH = np.uint64((1 << 48) - 2)
 
 
 def _pow(k: int) -> np.uint64:
@@ -74,7 +77,8 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
-    np.minimum(h, _MAX - np.uint64(1), out=h)
+    h &= _HASH  # 48 bits pack smaller; a chance repeat only sends a stretch too many
+    h += np.uint64(1)  # 0 marks windows that cross into the next text
     low = _slide(h, SPAN, np.minimum)  # of the window that starts here
     inside = np.ones(len(low), bool)
     for e in ends[:-1]:  # windows that would cross into the next text
@@ -111,17 +115,25 @@ def _blocks(datas: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, datas[first:]
 
 
-def _anchored(datas: list[bytes]) -> tuple[np.ndarray, ...]:
-    """anchors() of a batch, with the index of each one's text and places
-    within it: hash, text, place, first, last."""
+def _anchored(datas: list[bytes], known: list[np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """anchors() of a batch: hash and index of the text; with ``known``, the
+    hashes wanted of each text, only those, and their first and last window
+    starts as well."""
     out = []
-    for first, block in _blocks(datas):
+    for start, block in _blocks(datas):
         ends = np.cumsum([len(d) for d in block])
-        h, p, a, z = anchors(np.frombuffer(b"".join(block), np.uint8), ends)
+        h, _, a, z = anchors(np.frombuffer(b"".join(block), np.uint8), ends)
         of = np.searchsorted(ends, a, side="right")
+        if known is None:
+            out.append((h, (of + start).astype(np.int32)))
+            continue
+        edges = np.searchsorted(of, np.arange(len(block) + 1))
+        keep = np.concatenate([np.isin(h[x:y], known[start + k]) for k, (x, y) in enumerate(zip(edges, edges[1:]))])
         base = (ends - [len(d) for d in block])[of]
-        out.append((h, of + first, p - base, a - base, z - base))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.uint64), *(np.empty(0, np.int64),) * 4)
+        out.append((h[keep], of[keep] + start, (a - base)[keep], (z - base)[keep]))
+    if out:
+        return tuple(np.concatenate(x) for x in zip(*out))
+    return np.empty(0, np.uint64), *(np.empty(0, np.int64),) * (1 if known is None else 3)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -137,7 +149,20 @@ def _unpack(data: bytes, dtype) -> np.ndarray:
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    return ((h >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about PIECE_BYTES of text, so that memory follows
+    from that and not from the size of Arrow's batches."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + PIECE_BYTES, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def _rows(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -145,13 +170,32 @@ def _rows(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return datas, batch.column(1).to_numpy(), batch.column(2).to_numpy()
 
 
-def _by_row(of: np.ndarray, payload: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Payloads of each row index, one blob per row."""
-    order = np.argsort(of, kind="stable")
-    of, payload = of[order], payload[order]
-    cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else []
-    for a, z in zip(cut, [*cut[1:], len(of)]):
-        yield int(of[a]), payload[a:z].tobytes()
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs of equal values in sorted columns."""
+    if not len(columns[0]):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    cut = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]))
+    return cut, np.append(cut[1:], len(columns[0]))
+
+
+def _by_document(doc: np.ndarray, body: np.ndarray, *payload: np.ndarray) -> tuple[list, list, list]:
+    """doc, body and the payload as one blob, sorted, of each document."""
+    order = np.lexsort((payload[0], body, doc))
+    doc, body = doc[order], body[order]
+    rows = np.stack([p[order] for p in payload], 1)
+    a, z = _runs(doc, body)
+    return doc[a].tolist(), body[a].tolist(), [rows[x:y].tobytes() for x, y in zip(a.tolist(), z.tolist())]
+
+
+def _by_bucket(work, name: str):
+    """applyInArrow of ``work``, which gets the rows of one bucket and returns
+    arrays of doc, body and payload, as one row per document."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        doc, body, blob = _by_document(*work(table.to_pylist()))
+        return pa.table({"doc": pa.array(doc, pa.int64()), "body": pa.array(body, pa.int64()), name: pa.array(blob, pa.binary())})
+
+    return run
 
 
 _COLLECTED = "bucket int, doc long, body long, hashes binary, of binary, docs binary, bodies binary"
@@ -160,13 +204,14 @@ _COLLECTED_TYPES = [("bucket", pa.int32()), ("doc", pa.int64()), ("body", pa.int
 
 def _collect(buckets: int):
     """Anchors of a batch by bucket. Those of several rows of the batch are
-    known to repeat: their rows get them at once (rows without bucket), and
-    the bucket only learns that they exist (text index -1)."""
+    known to repeat: their rows get them at once (rows without ``of``, which
+    any bucket passes on), and the bucket only learns that they exist (text
+    index -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             datas, docs, bodies = _rows(batch)
-            h, of, *_ = _anchored(datas)
+            h, of = _anchored(datas)
             order = np.lexsort((of, h))
             h, of = h[order], of[order]
             new = np.concatenate([[True], (h[1:] != h[:-1]) | (of[1:] != of[:-1])]) if len(h) else np.empty(0, bool)
@@ -174,7 +219,8 @@ def _collect(buckets: int):
             start = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
             group = np.cumsum(start) - 1
             many = np.bincount(group)[group] > 1 if len(h) else np.empty(0, bool)
-            out = [{"doc": int(docs[i]), "body": int(bodies[i]), "hashes": blob} for i, blob in _by_row(of[many], h[many])]
+            direct = _by_document(docs[of[many]], bodies[of[many]], h[many])
+            out = [{"bucket": b % buckets, "doc": d, "body": b, "hashes": blob} for d, b, blob in zip(*direct)]
             of = np.where(many, -1, of)
             h, of = h[start], of[start].astype(np.int32)
             bucket = _bucket(h, buckets)  # grows with h
@@ -188,29 +234,28 @@ def _collect(buckets: int):
     return run
 
 
-def _repeated(key: tuple, table: pa.Table) -> pa.Table:
-    """Of one bucket: (doc, body, hashes) of the anchors in several rows."""
-    hs, docs, bodies = [], [], []
-    for r in table.select(["hashes", "of", "docs", "bodies"]).to_pylist():
-        of = _unpack(r["of"], np.int32)
-        hs.append(np.cumsum(_unpack(r["hashes"], np.uint64)))
-        d, b = _unpack(r["docs"], np.int64), _unpack(r["bodies"], np.int64)
-        docs.append(np.where(of >= 0, d[of], -1))
-        bodies.append(np.where(of >= 0, b[of], 0))
-        hs[-1] = np.stack([hs[-1], (of < 0).astype(np.uint64)])
-    h, several = np.concatenate(hs, axis=1)
-    doc, body = np.concatenate(docs), np.concatenate(bodies)
+def _repeated(bucket: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, body and hash of one bucket's anchors that occur in several rows."""
+    hs, several, docs, bodies = [], [], [], []
+    direct = [r for r in bucket if r["of"] is None]
+    for r in bucket:
+        if r["of"] is not None:
+            of = _unpack(r["of"], np.int32)
+            hs.append(np.cumsum(_unpack(r["hashes"], np.uint64)))
+            several.append(of < 0)
+            docs.append(_unpack(r["docs"], np.int64)[of])  # any for -1
+            bodies.append(_unpack(r["bodies"], np.int64)[of])
+    known = [np.frombuffer(r["hashes"], np.uint64) for r in direct]
+    at = np.repeat(np.arange(len(known)), [len(k) for k in known])
+    out = [np.array([r[c] for r in direct], np.int64)[at] for c in ("doc", "body")] + [np.concatenate([*known, np.empty(0, np.uint64)])]
+    if not hs:
+        return tuple(out)
+    h, several, doc, body = (np.concatenate(x) for x in (hs, several, docs, bodies))
     order = np.argsort(h, kind="stable")
-    h, several, doc, body = h[order], several[order], doc[order], body[order]
-    start = np.concatenate([[True], h[1:] != h[:-1]])
-    group = np.cumsum(start) - 1
-    found = (np.bincount(group)[group] > 1) & (several == 0)
-    h, doc, body = h[found], doc[found], body[found]
-    order = np.lexsort((body, doc))
-    h, doc, body = h[order], doc[order], body[order]
-    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (body[1:] != body[:-1])])) if len(h) else np.empty(0, np.int64)
-    blobs = [h[a:z].tobytes() for a, z in zip(cut, [*cut[1:], len(h)])]
-    return pa.table({"doc": pa.array(doc[cut], pa.int64()), "body": pa.array(body[cut], pa.int64()), "hashes": pa.array(blobs, pa.binary())})
+    a, z = _runs(h[order])
+    more = np.repeat(z - a > 1, z - a) & ~several[order]
+    found = order[more]
+    return tuple(np.concatenate(x) for x in zip(out, (doc[found], body[found], h[found])))
 
 
 _STRETCHES = "bucket int, doc long, body long, spans binary, stretches binary, lengths binary, hashes binary, starts binary, docs binary, bodies binary"
@@ -230,13 +275,17 @@ def _collapse(h: np.ndarray, lengths: np.ndarray, keys: np.ndarray, doc: np.ndar
     return order[~larger], order[larger]
 
 
-def _spans(doc: np.ndarray, body: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[dict]:
-    """Removed windows by document, as pairs of first and last start."""
+def _merged(doc: np.ndarray, body: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows of the same document that follow or overlap as one span."""
     order = np.lexsort((first, body, doc))
-    doc, body, pairs = doc[order], body[order], np.stack([first, last], 1)[order].astype(np.int64)
-    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (body[1:] != body[:-1])])) if len(doc) else []
-    for a, z in zip(cut, [*cut[1:], len(doc)]):
-        yield {"doc": int(doc[a]), "body": int(body[a]), "spans": pairs[a:z].tobytes()}
+    doc, body, first, last = doc[order], body[order], first[order], last[order]
+    a, z = _runs(doc, body)
+    apart = np.repeat(np.arange(len(a)), z - a) << 40  # no span reaches into the next document
+    first, last = first + apart, np.maximum.accumulate(last + apart)
+    new = np.concatenate([[True], first[1:] > last[:-1] + 1]) if len(first) else np.empty(0, bool)
+    at = np.flatnonzero(new)
+    end = last[np.append(at[1:], len(last)) - 1] if len(at) else last
+    return doc[at], body[at], first[at] - apart[at], end - apart[at]
 
 
 def _keys(stretches: list[bytes]) -> np.ndarray:
@@ -245,20 +294,16 @@ def _keys(stretches: list[bytes]) -> np.ndarray:
 
 def _stretch(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             datas, docs, bodies = _rows(batch)
-            h, of, _, first, last = _anchored(datas)
-            keep = np.zeros(len(h), bool)
-            edges = np.searchsorted(of, np.arange(len(datas) + 1))
-            for i, blobs in enumerate(batch.column(3)):
-                a, z = edges[i], edges[i + 1]
-                known = np.frombuffer(b"".join(blobs.as_py()), np.uint64)
-                keep[a:z] = np.isin(h[a:z], known)
-            h, of, first, last = h[keep], of[keep], first[keep], last[keep]
+            known = [np.frombuffer(b"".join(blobs.as_py()), np.uint64) for blobs in batch.column(3)]
+            h, of, first, last = _anchored(datas, known)
             texts_ = [datas[i][a : z + MIN_BYTES] for i, a, z in zip(of.tolist(), first.tolist(), last.tolist())]
             lengths = last - first + 1
             one, gone = _collapse(h, lengths, _keys(texts_), docs[of])
-            out = list(_spans(docs[of[gone]], bodies[of[gone]], first[gone], last[gone]))
+            d, b, *span = _merged(docs[of[gone]], bodies[of[gone]], first[gone], last[gone])
+            # Any bucket passes these on.
+            out = [{"bucket": y % buckets, "doc": x, "body": y, "spans": blob} for x, y, blob in zip(*_by_document(d, b, *span))]
             one = one[np.argsort(h[one], kind="stable")]
             bucket = _bucket(h[one], buckets)
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(one) else []
@@ -324,36 +369,60 @@ def previous_factor(rank: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     return best
 
 
-def _factors(key: tuple, table: pa.Table) -> pa.Table:
-    """Removed windows of one bucket's stretches."""
+def _slices(groups: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+    """Consecutive whole groups of about SLICE_WINDOWS windows."""
+    last = np.append(np.flatnonzero(np.diff(groups)) + 1, len(groups))
+    total, start = np.cumsum(sizes), 0
+    while start < len(groups):
+        done = total[start - 1] if start else 0
+        stop = last[min(np.searchsorted(total[last - 1], done + SLICE_WINDOWS), len(last) - 1)]
+        yield slice(start, stop)
+        start = stop
+
+
+def _factors(bucket: list[dict]) -> tuple[np.ndarray, ...]:
+    """doc, body, first and last start of the removed windows of one bucket."""
+    direct = [r for r in bucket if r["spans"] is not None]
+    pairs = [np.frombuffer(r["spans"], np.int64).reshape(-1, 2) for r in direct]
+    at = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
+    pairs = np.concatenate([*pairs, np.empty((0, 2), np.int64)])
+    told = (*(np.array([r[c] for r in direct], np.int64)[at] for c in ("doc", "body")), pairs[:, 0], pairs[:, 1])
     parts = []
-    for r in table.to_pylist():
-        data = zstandard.decompress(r["stretches"])
-        lengths = _unpack(r["lengths"], np.uint8).astype(np.int64)
-        ends = np.cumsum(lengths + MIN_BYTES - 1)
-        texts_ = [data[e - n : e] for e, n in zip(ends.tolist(), (lengths + MIN_BYTES - 1).tolist())]
-        parts.append((texts_, lengths, *(_unpack(r[c], t) for c, t in (("hashes", np.uint64), ("starts", np.int64), ("docs", np.int64), ("bodies", np.int64)))))
+    for r in bucket:
+        if r["spans"] is None:
+            data = zstandard.decompress(r["stretches"])
+            lengths = _unpack(r["lengths"], np.uint8).astype(np.int64)
+            ends = np.cumsum(lengths + MIN_BYTES - 1)
+            texts_ = [data[e - n : e] for e, n in zip(ends.tolist(), (lengths + MIN_BYTES - 1).tolist())]
+            parts.append((texts_, lengths, *(_unpack(r[c], t) for c, t in (("hashes", np.uint64), ("starts", np.int64), ("docs", np.int64), ("bodies", np.int64)))))
+    if not parts:
+        return told
     texts_ = [t for p in parts for t in p[0]]
     lengths, h, starts, docs, bodies = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
+    del parts
     one, gone = _collapse(h, lengths, _keys(texts_), docs)
-    out = list(_spans(docs[gone], bodies[gone], starts[gone], starts[gone] + lengths[gone] - 1))
+    who, at, to = [gone], [starts[gone]], [starts[gone] + lengths[gone] - 1]
     # Only stretches whose anchor has others can hold repeated windows.
     one = one[np.argsort(h[one], kind="stable")]
     group = np.cumsum(np.concatenate([[True], np.diff(h[one]) != 0])) - 1
-    one = one[np.bincount(group)[group] > 1]
-    if len(one):
-        size = lengths[one] + MIN_BYTES - 1
-        data = np.frombuffer(b"".join(texts_[i] for i in one.tolist()), np.uint8)
-        n = lengths[one]
-        of = np.repeat(np.arange(len(one)), n)
+    several = np.bincount(group)[group] > 1
+    one, group = one[several], group[several]
+    # Equal windows have equal anchors, so groups of anchors are sorted apart.
+    for part in _slices(group, lengths[one]):
+        some = one[part]
+        size, n = lengths[some] + MIN_BYTES - 1, lengths[some]
+        data = np.frombuffer(b"".join(texts_[i] for i in some.tolist()), np.uint8)
+        of = np.repeat(np.arange(len(some)), n)
         inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
         order, lcp = suffix_array(data, (np.cumsum(size) - size)[of] + inner)
-        rank = docs[one][of][order]
-        removed = order[previous_factor(rank, lcp) >= MIN_BYTES]
-        which = one[of[removed]]
-        at = starts[which] + inner[removed]
-        out += _spans(docs[which], bodies[which], at, at)
-    return pa.Table.from_pylist(out, schema=pa.schema([("doc", pa.int64()), ("body", pa.int64()), ("spans", pa.binary())]))
+        removed = order[previous_factor(docs[some][of][order], lcp) >= MIN_BYTES]
+        which = some[of[removed]]
+        who.append(which)
+        at.append(starts[which] + inner[removed])
+        to.append(at[-1])
+    who, at, to = (np.concatenate(x) for x in (who, at, to))
+    found = _merged(docs[who], bodies[who], at, to)
+    return tuple(np.concatenate(x) for x in zip(told, found))
 
 
 def covered(spans: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -400,23 +469,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, size // BUCKET_BYTES)
 
-    sent = staged(base.filter(F.octet_length("text") >= MIN_BYTES).select("text", "doc", "body").mapInArrow(_collect(buckets), _COLLECTED), "op9-anchors")
-    found = sent.filter("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_repeated, "doc long, body long, hashes binary")
+    # One plan: the texts are dealt by document once and joined twice.
+    rows = base.select("text", "doc_id", "doc", "body")
     lists = (
-        found.unionByName(sent.filter("bucket IS NULL").select("doc", "body", "hashes"))
+        base.filter(F.octet_length("text") >= MIN_BYTES).select("text", "doc", "body").mapInArrow(_collect(buckets), _COLLECTED)
+        .groupBy("bucket").applyInArrow(_by_bucket(_repeated, "hashes"), "doc long, body long, hashes binary")
         .groupBy(F.col("doc").alias("d"), F.col("body").alias("b")).agg(F.collect_list("hashes").alias("hashes"))  # of one text
     )
-    lists = staged(lists, "op9-lists")
-    same = (F.col("doc") == F.col("d")) & (F.col("body") == F.col("b"))
-    rows = base.join(lists, same).select("text", "doc", "body", "hashes")
-    work = staged(rows.mapInArrow(_stretch(buckets), _STRETCHES), "op9-stretches")
     windows = (
-        work.filter("bucket IS NOT NULL").select("bucket", "stretches", "lengths", "hashes", "starts", "docs", "bodies")
-        .groupBy("bucket").applyInArrow(_factors, "doc long, body long, spans binary")
-        .unionByName(work.filter("bucket IS NULL").select("doc", "body", "spans"))
+        rows.join(lists, (rows["doc"] == lists["d"]) & (rows["body"] == lists["b"]))
+        .select("text", "doc", "body", "hashes", "doc_id").mapInArrow(_stretch(buckets), _STRETCHES)
+        .groupBy("bucket").applyInArrow(_by_bucket(_factors, "spans"), "doc long, body long, spans binary")
+        .groupBy(F.col("doc").alias("d"), F.col("body").alias("b")).agg(F.collect_list("spans").alias("spans"))  # of one text
     )
-    windows = staged(windows.groupBy(F.col("doc").alias("d"), F.col("body").alias("b")).agg(F.collect_list("spans").alias("spans")), "op9-spans")
-    joined = base.join(windows, same, "left").select("text", "doc_id", "spans")
+    joined = rows.join(windows, (rows["doc"] == windows["d"]) & (rows["body"] == windows["b"]), "left").select("text", "doc_id", "spans")
     id_type = base.schema["doc_id"].dataType.simpleString()
     kind = "string" if output == "digest" else "binary"
     return joined.mapInArrow(_finish(output), f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept {kind}")

@@ -34,7 +34,8 @@ def test_query_against_brute_force(spark):
     assert got == _brute(rows) and sum(r[2] for r in got) > 0
 
 
-def test_awkward_texts_against_brute_force(spark):
+def test_awkward_texts_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE_WINDOWS", 40)
     rng = random.Random(3)
     base = "".join(rng.choice("abé漢 ") for _ in range(400))
     rows = [(50, base), (3, base[:49]), (4, base[:50]), (60, base[100:300]), (61, "x" + base[100:149]), (62, base[100:150] + base[150:200])]
