@@ -39,10 +39,10 @@ from argent.llm.common import load, texts
 
 MIN_BYTES, GRAM = 50, 20
 SPAN = MIN_BYTES - GRAM + 1  # places of the gram in a window
-BUCKET_BYTES = 12_000_000  # of text for each bucket
-PIECE_BYTES = 8_000_000  # of text worked on at a time
+BUCKET_BYTES = 10_000_000  # of text for each bucket
+PIECE_BYTES = 4_000_000  # of text worked on at a time
 BLOCK_BYTES = 1_000_000  # of text hashed at a time
-SLICE_WINDOWS = 100_000  # sorted at a time, unless one anchor has more
+SLICE_WINDOWS = 50_000  # sorted at a time, unless one anchor has more
 NULL_ORDER = np.iinfo(np.int64).max  # a null doc_id comes last
 _TABLE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
 _B = np.uint64(0x9E3779B97F4A7C15)
