@@ -13,6 +13,9 @@ of ``window`` or more equal lines is guaranteed to share a fingerprint.
 3. Every line of a window that occurs earlier (in a document of smaller doc_id,
    or further up in the same one) is deleted; the first run stays.
 
+With ``long_words``, a unit of more words than that (between white space) is a
+run by itself as well: a window of one line, which is its own fingerprint.
+
 Each content is compared with its first place alone, so a line that occurs a
 million times costs a million rows and not their square.
 """
@@ -33,12 +36,17 @@ def _windows(n: str, window: int) -> Column:
     return F.when(F.col(n) >= window, F.sequence(F.lit(0), F.col(n) - window)).otherwise(F.array().cast("array<int>"))
 
 
+def _long(unit: Column, long_words: int) -> Column:
+    """Whether a unit has more than ``long_words`` words."""
+    return F.size(F.split(F.regexp_replace(unit, r"^\s+|\s+$", ""), r"\s+")) > long_words
+
+
 def _selected(start: Column, window: int) -> Column:
     """The fingerprint of a window: its smallest line hash."""
     return F.array_min(F.slice(F.col("hashes"), start + 1, window))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, long_words: int | None = None) -> DataFrame:
     """row (a struct of all input columns, so that none can clash), doc_id,
     text, n_lines (units), n_removed and removed (line numbers from 0), one row
     per row.
@@ -63,13 +71,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     units = units.select(
         "doc_id", "body", "units", F.transform("units", lambda x: F.xxhash64(x)).alias("hashes"), F.size("units").alias("n")
     )
-    found = units.select(
-        "doc_id", "body",
-        F.explode(F.transform(_windows("n", window), lambda s: F.struct(
-            s.alias("start"), _selected(s, window).alias("fingerprint"),
-            F.unhex(F.md5(F.array_join(F.slice(F.col("units"), s + 1, window), "\n"))).alias("content"),
-        ))).alias("w"),
-    ).select("doc_id", "body", "w.*")
+
+    def places(starts: Column, width: int) -> Column:
+        return F.transform(starts, lambda s: F.struct(
+            s.alias("start"), F.lit(width).alias("width"), _selected(s, width).alias("fingerprint"),
+            F.unhex(F.md5(F.array_join(F.slice(F.col("units"), s + 1, width), "\n"))).alias("content"),
+        ))
+
+    windows = places(_windows("n", window), window)
+    if long_words is not None and window > 1:
+        alone = F.filter(_windows("n", 1), lambda k: _long(F.get("units", k), long_words))
+        windows = F.concat(windows, places(alone, 1))
+    found = units.select("doc_id", "body", F.explode(windows).alias("w")).select("doc_id", "body", "w.*")
     found = staged(found, "op5-windows")
     repeated = staged(
         found.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fingerprint"), "op5-fingerprints"
@@ -81,13 +94,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     first = staged(first, "op5-first")  # so that hot contents can be split in the join
     later = matched.join(first, "content").filter(place > F.col("first"))
-    deleted = later.groupBy(F.col("doc_id").alias("i"), F.col("body").alias("b")).agg(F.collect_set("start").alias("starts"))
+    deleted = later.groupBy(F.col("doc_id").alias("i"), F.col("body").alias("b")).agg(F.collect_set(F.struct("start", "width")).alias("starts"))
 
     joined = row.join(deleted, F.col("doc_id").eqNullSafe(F.col("i")) & F.col("body").eqNullSafe(F.col("b")), "left")
     joined = joined.select("row", "doc_id", "text", "starts", F.split("text", "\n", -1).alias("lines"))
     numbers = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda k: F.btrim(F.get("lines", k), F.lit(TRIM)) != "")
     joined = joined.withColumn("numbers", F.when(F.col("text").isNotNull(), numbers).otherwise(F.array().cast("array<int>")))
-    gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (window - 1)))))
+    gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s["start"], s["start"] + s["width"] - 1))))
     joined = joined.withColumn("gone", gone)
     removed = F.array_sort(F.transform("gone", lambda k: F.get("numbers", k)))
     joined = joined.withColumn("removed", F.coalesce(removed, F.array().cast("array<int>")))

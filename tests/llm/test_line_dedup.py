@@ -49,3 +49,31 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, "one")], "doc_id long, text string")
     plan = line_dedup(df)._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+def _brute_long(rows, long_words):
+    """Two lines or more, or one of more than ``long_words`` words; ids in order."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        units = [(n, x.strip(" \t\r")) for n, x in enumerate(t.split("\n")) if x.strip(" \t\r")]
+        gone = set()
+        for s, (_, x) in enumerate(units):
+            for width in (1, 2):
+                content = tuple(y for _, y in units[s : s + width])
+                if len(content) < width or width == 1 and len(x.split()) <= long_words:
+                    continue
+                if content in seen:
+                    gone |= {n for n, _ in units[s : s + width]}
+                seen.add(content)
+        out[i] = sorted(gone)
+    return out
+
+
+def test_a_long_line_is_a_run(spark):
+    rng = random.Random(7)
+    lines = [" ".join(f"w{k}-{j}" for j in range(n)) for k, n in enumerate((1, 2, 5, 6, 7, 60))] + ["", " a  b\tc d e\t", " a  b\tc d e f "]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 7)))) for i in range(60)]
+    rows += [(100 + i, f"own {i}\n{lines[5]}\nelse {i}") for i in range(3)] + [(200 + i, f"own {i}\n{lines[2]}\nother {i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: list(r.removed) for r in line_dedup(df, long_words=5).collect()}
+    assert got == _brute_long(rows, 5) and got[102] == [1] and got[202] == []
