@@ -47,6 +47,7 @@ NULL_ORDER = np.iinfo(np.int64).max  # a null doc_id comes last
 _TABLE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
 _B = np.uint64(0x9E3779B97F4A7C15)
 _HASH = np.uint64((1 << 48) - 2)
+_HALF = np.uint64((1 << 47) - 1)
 
 
 def _pow(k: int) -> np.uint64:
@@ -62,6 +63,16 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    """Another hash of each anchor hash, different for different ones and even
+    over the 48 bits: anchors are minima and lie close to 0."""
+    x = (h >> np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) & _HALF
+    x ^= x >> np.uint64(24)
+    x = x * np.uint64(0xD6E8FEB86659FD93) & _HALF
+    x ^= x >> np.uint64(24)
+    return x << np.uint64(1)
+
+
 def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of texts laid end to end: anchor hashes, places, and the first and last
     window start that each anchors."""
@@ -100,7 +111,7 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     start = np.maximum(change[run], chosen - SPAN + 1)
     last = np.minimum(stop[run] - 1, chosen)
     good = (start <= last) & (low[np.minimum(start, len(low) - 1)] == h[chosen])
-    return h[chosen[good]], chosen[good], start[good], last[good]
+    return _spread(h[chosen[good]]), chosen[good], start[good], last[good]
 
 
 def _blocks(datas: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:

@@ -85,3 +85,21 @@ def test_previous_factors_against_all_pairs():
         got = previous_factor(doc[order], lcp)
         for k, i in enumerate(order):
             assert got[k] == max((common(texts[i], texts[j]) for j in range(n) if doc[j] < doc[i]), default=0)
+
+
+def test_buckets_are_even():
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 256, 400_000, dtype=np.uint8)
+    h, _, a, z = anchors(data, np.array([len(data)]))
+    for buckets in (16, 51, 300):
+        bucket = suffix_dedup._bucket(h, buckets)
+        assert bucket.min() >= 0 and bucket.max() < buckets and (np.diff(bucket[np.argsort(h)]) >= 0).all()
+        for weights in (None, z - a + 1):
+            n = np.bincount(bucket, weights, minlength=buckets)
+            assert n.max() < 2 * n.mean() and n.min() > n.mean() / 2
+
+
+def test_spread_keeps_hashes_apart():
+    h = np.arange(1, 400_001, 2, dtype=np.uint64) * np.uint64(1_000_003) & suffix_dedup._HASH
+    h = np.unique(h | np.uint64(1))
+    assert len(np.unique(suffix_dedup._spread(h))) == len(h) and (suffix_dedup._spread(h) < 1 << 48).all()
