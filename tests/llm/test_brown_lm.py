@@ -87,3 +87,39 @@ def test_nulls_repeats_empty(spark):
     got = {r.doc_id: r for r in score_texts(df, model, counts).collect()}
     assert model.train_tokens == 0 and got[1].base_score == 0.0 and got[3].n_known == 0
     assert brown_lm.END == b"" and df.select(F.col("text")).count() == 6
+
+
+def test_every_training_word_has_a_class(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(40)
+    train = Counter(w for r in docs.collect() for w in tokens(r.text or ""))
+    for listed in (150, 150_000):
+        model, rest = fit_classes(docs, core_words=50, class_words=100, listed_words=listed, classes=8)
+        of = {bytes(r["word"]): (r["class"], r["n"]) for r in rest.collect()}
+        assert len(of) == len(train) - 101 and of.keys() | model.listed.keys() == train.keys()
+        assert all(of.get(w, g) == g for w, g in model.listed.items()) and len(model.listed) == min(listed + 1, len(train))
+        of |= model.listed
+        assert all(n == train[w] and c != model.open for w, (c, n) in of.items())
+        size = Counter()
+        for c, n in of.values():
+            size[c] += n
+        assert [size[c] for c in range(10)] == model.sizes.tolist() and np.allclose((10.0**model.transition).sum(1), 1)
+
+        docs2 = docs.unionAll(spark.createDataFrame([(-1, "nie gesehen nie qqq x")], docs.schema))
+        for r, d in zip(sorted(score_texts(docs2, model, rest).collect()), sorted((d.doc_id, d.text) for d in docs2.collect())):
+            at, want = model.open + 1, 0.0
+            for w in tokens(d[1] or ""):
+                c, n = of.get(w, (model.open, 1))
+                want += model.transition[at, c] + (math.log10(n / model.sizes[c]) if c != model.open else 0.0)
+                at = c
+            assert r.doc_id == d[0] and math.isclose(r.score, want, rel_tol=1e-9)
+
+
+def test_rare_words_join_the_class_of_their_contexts(spark):
+    rows = [(i, "a x b y " * 40 + f"a left{i} b right{i} a x b y") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for listed in (4, 40, 1000):
+        model, rest = fit_classes(df, core_words=4, class_words=4, listed_words=listed, classes=4)
+        of = {r["word"].decode(): r["class"] for r in rest.collect()}
+        c = {w.decode(): g[0] for w, g in model.listed.items()}
+        assert len(of) == 60 and len({c["a"], c["b"], c["x"], c["y"]}) == 4
+        assert {of[f"left{i}"] for i in range(30)} == {c["x"]} and {of[f"right{i}"] for i in range(30)} == {c["y"]}
