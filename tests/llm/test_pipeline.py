@@ -7,6 +7,7 @@ from test_line_dedup import _brute as deduped
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
+from argent.llm.toxicity import features, held_out, query_model
 
 SF = "/root/testdata/sf0.001"
 
@@ -64,3 +65,16 @@ def test_awkward_rows(spark):
     empty = docs.limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_toxic_rows_go(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = query_model(spark, docs, sf)
+    memory = model.gains()
+    want = {r.doc_id for r in docs.collect() if model.score(features(r.text or "", memory)) < 0.5}
+    assert {r.doc_id for r in P.toxicity(spark, docs, sf).collect()} == want
+
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter(held_out()).collect()
+    toxic, clean = ({r.doc_id for r in labels if r.toxic == t} for t in (1, 0))
+    assert toxic and len(toxic - want) >= 0.95 * len(toxic) and len(clean & want) >= 0.95 * len(clean)
