@@ -6,6 +6,7 @@ from argent.llm.bpe import op2_bpe
 from argent.llm.brown_lm import op10_brown_lm
 from argent.llm.decontaminate import ORACLE_OP1, op1_decontaminate
 from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
+from argent.llm.importance import op11_importance
 from argent.llm.jaccard_join import op6_jaccard_join
 from argent.llm.line_dedup import ORACLE_OP5, op5_line_dedup
 from argent.llm.pii import op3_pii
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_brown_lm": op10_brown_lm,
+    "op11_importance": op11_importance,
 }
 
 ORACLES = {

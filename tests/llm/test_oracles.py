@@ -20,6 +20,7 @@ COLUMNS = {
     "op10_brown_lm": {
         "doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"
     },
+    "op11_importance": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
 }
 
 
