@@ -9,10 +9,12 @@ from argent.llm.exact_dedup import ORACLE_OP8, op8_exact_dedup
 from argent.llm.importance import op11_importance
 from argent.llm.jaccard_join import op6_jaccard_join
 from argent.llm.line_dedup import ORACLE_OP5, op5_line_dedup
+from argent.llm.packing import op12_packing
 from argent.llm.pii import op3_pii
 from argent.llm.suffix_dedup import op9_suffix_dedup
 from argent.llm.toxicity import op7_toxicity
 from argent.llm.url_filter import ORACLE_OP4, op4_url_filter
+from argent.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -26,6 +28,8 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_brown_lm": op10_brown_lm,
     "op11_importance": op11_importance,
+    "op12_packing": op12_packing,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
