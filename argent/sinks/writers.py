@@ -1,34 +1,41 @@
 """Path and catalog-table sinks.
 
 The format is an argument (default Parquet; ``delta`` works where its jar is
-installed). A replacing write never touches what is there until the new data
-stands complete: it goes to a fresh sibling folder (or table) while the rows are
-counted, an empty result is refused, and only then the two are swapped by
-renames. So the frame may read from its own destination, under whatever
-spelling of the path, and nothing is cached or computed twice.
-
-A folder swap needs a filesystem whose rename is cheap, such as HDFS. On an
-object store, where a rename copies, write to a table format instead: formats
-that Spark does not write as plain files are left to their own transactions,
-with one extra ``isEmpty`` before the write.
+installed). A write never touches what is there until the new data stands
+complete: it goes to a fresh sibling folder (or table) while the rows are
+counted, an empty result is refused, and only then the data is moved into
+place, by ``argent.sinks.commit``. So an append that turns out empty adds nothing,
+the frame may read from its own destination, under whatever spelling of the
+path, nothing is cached or computed twice, and a writer that is lost between two
+moves leaves a commit that the next write or scan finishes.
+
+Moves need a filesystem whose rename is cheap, such as HDFS. On an object store,
+where a rename copies, write to a table format instead: formats that Spark does
+not write as plain files are left to their own transactions, with one extra
+``isEmpty`` before the write.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from argent.errors import LoadingError
+from argent.operators.stages import dedup
+from argent.sinks.commit import ADD, PARTITIONS, REPLACE, Folder
 
 _PATHLESS_FORMATS = {"noop", "console", "memory"}
 _FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro"}
+_WITH_SCHEMA = {"parquet", "orc", "avro"}
+_PARTITION_MODE = "partitionOverwriteMode"
+_COMPLETE = "argent.complete"  # on a new table whose rows all stand
 _MODES = {"overwrite", "append", "ignore", "error", "errorifexists", "default"}
 
 
@@ -36,54 +43,28 @@ def _quoted(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
-class _Folder:
-    """A destination path on its own filesystem."""
-
-    def __init__(self, df: DataFrame, path: str):
-        spark = df.sparkSession
-        self._path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
-        given = self._path(path)
-        self.fs = given.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-        self.at = self.fs.makeQualified(given)
-
-    def sibling(self, label: str):
-        return self._path(self.at.getParent(), f".{self.at.getName()}.{uuid.uuid4().hex}.{label}")
-
-    def exists(self) -> bool:
-        return self.fs.exists(self.at)
-
-    def _rename(self, source, target) -> None:
-        if not self.fs.rename(source, target):
-            raise LoadingError(f"Could not move {source} to {target}")
-
-    def replace_with(self, new) -> None:
-        """Put ``new`` in this place; what was here goes once it stands."""
-        old = None
-        if self.exists():
-            old = self.sibling("old")
-            self._rename(self.at, old)
-        try:
-            self._rename(new, self.at)
-        except Exception:
-            if old is not None:
-                self._rename(old, self.at)
-            raise
-        if old is not None:
-            self.fs.delete(old, True)
-
-
-def _check_append_schema(df: DataFrame, fmt: str, destination: str) -> None:
+def _check_append_schema(df: DataFrame, fmt: str, destination: str, partition_by: list[str]) -> None:
+    """Refuse columns other than those that are there (plain Parquet would
+    accept them silently). Partition columns live in folder names and have no
+    type of their own."""
     try:
         existing = df.sparkSession.read.format(fmt).load(destination).schema
     except AnalysisException:
         return  # nothing there yet
-    if [(f.name, f.dataType) for f in existing.fields] != [(f.name, f.dataType) for f in df.schema.fields]:
+    there, new = ([(f.name, f.dataType) for f in x.fields if f.name not in partition_by] for x in (existing, df.schema))
+    if fmt in _WITH_SCHEMA and there != new:
         raise LoadingError(
             f"Cannot append to {destination}: schema {df.schema.simpleString()} "
             f"differs from existing {existing.simpleString()}"
         )
 
 
+def _check_layout(folder: Folder, partition_by: list[str]) -> None:
+    there = folder.partition_columns()
+    if there != partition_by:
+        raise LoadingError(f"{folder.at} is laid out by {there or 'no columns'}, not by {partition_by or 'no columns'}")
+
+
 def _check_format(df: DataFrame, fmt: str) -> None:
     """Fail before any work when the sink format cannot be resolved (for
     example ``delta`` without its jar), instead of after the whole plan ran."""
@@ -109,6 +90,15 @@ def _writer(
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
+def _by_partition(df: DataFrame, options: dict[str, Any], partition_by: list[str]) -> bool:
+    """Whether an overwrite is to replace only the partitions that the new data
+    holds: the writer's option, else the session's setting, as in Spark.
+    Takes the option out, as the write goes to a fresh folder."""
+    given = [options.pop(k) for k in list(options) if k.lower() == _PARTITION_MODE.lower()]
+    mode = given[-1] if given else df.sparkSession.conf.get(f"spark.sql.sources.{_PARTITION_MODE}", "static")
+    return bool(partition_by) and str(mode).lower() == "dynamic"
+
+
 @contextmanager
 def _reported(what: str) -> Iterator[None]:
     try:
@@ -137,11 +127,14 @@ def write_path(
 ) -> bool:
     """``df`` to a path, as the module says; whether anything was written. ``fmt="noop"`` runs the plan
     without output. Modes ``ignore`` and ``errorifexists`` compute nothing when
-    the destination exists. An append to another schema is refused (plain
-    Parquet would accept it silently); an append that turns out empty is
-    reported after it added a file without rows."""
+    the destination exists. An overwrite replaces the folder, or with
+    ``partition_by`` and ``partitionOverwriteMode`` "dynamic" (as an option or of
+    the session) only the partitions that ``df`` holds. An append to another
+    schema or layout is refused, and so is an empty result, before anything
+    changes."""
     target = destination or ""
     empty = f"Cannot load empty DataFrame to {target}"
+    by, extra = list(partition_by or []), dict(options or {})
     with _reported(f"to {target}"):
         m = _mode(mode)
         if fmt not in _PATHLESS_FORMATS and not destination:
@@ -150,32 +143,82 @@ def write_path(
         if fmt not in _FILE_FORMATS:
             if guard_empty and df.isEmpty():
                 raise LoadingError(empty)
-            writer = _writer(df, fmt, m, options, partition_by)
+            writer = _writer(df, fmt, m, extra, by)
             writer.save(destination) if destination else writer.save()
             return True
-        counted, seen = _counted(df)
-        if m == "append":
-            _check_append_schema(df, fmt, destination)
-            _writer(counted, fmt, m, options, partition_by).save(destination)
-            if guard_empty and not seen.get.get("rows"):
-                raise LoadingError(empty)
-            return True
-        folder = _Folder(df, destination)
-        if m != "overwrite" and folder.exists():
-            if m == "ignore":
-                return False
+        folder = Folder(df.sparkSession, destination)
+        folder.recover()
+        there = folder.exists()
+        if there and m == "ignore":
+            return False
+        if there and m == "errorifexists":
             raise LoadingError(f"Failed to load data to {destination}: it already exists")
+        kind = {"append": ADD}.get(m, REPLACE)
+        if _by_partition(df, extra, by) and m == "overwrite":
+            kind = PARTITIONS
+        if there and kind != REPLACE:
+            _check_append_schema(df, fmt, destination, by)
+            _check_layout(folder, by)
+        counted, seen = _counted(df)
         new = folder.sibling("new")
         try:
-            _writer(counted, fmt, "errorifexists", options, partition_by).save(new.toString())
+            _writer(counted, fmt, "errorifexists", extra, by).save(new.toString())
             if guard_empty and not seen.get.get("rows"):
                 raise LoadingError(empty)
-            folder.replace_with(new)
-        finally:
-            folder.fs.delete(new, True)  # gone already unless something failed
+        except Exception:
+            folder.fs.delete(new, True)
+            raise
+        folder.commit(new, kind, len(by))
         return True
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _recover_tables(spark: SparkSession, database: list[str], name: str) -> None:
+    """Finish the swap of a writer that was lost between two renames: a new
+    table that its writer declared complete takes the name."""
+    here = _quoted(*database, name)
+    inside = f" IN {_quoted(*database)}" if database else ""
+    names = sorted(r["tableName"] for r in spark.sql(f"SHOW TABLES{inside} LIKE '{name}__*'").collect())
+    olds = [n for n in names if n.startswith(f"{name}__old_")]
+    for new in (n for n in names if n.startswith(f"{name}__new_")):
+        made = spark.sql(f"SHOW TBLPROPERTIES {_quoted(*database, new)}").collect()
+        if _COMPLETE not in {r["key"] for r in made}:
+            continue  # unfinished, and perhaps somebody's
+        if spark.catalog.tableExists(here):
+            olds.append(new.replace("__new_", "__old_"))
+            spark.sql(f"ALTER TABLE {here} RENAME TO {_quoted(*database, olds[-1])}")
+        spark.sql(f"ALTER TABLE {_quoted(*database, new)} RENAME TO {here}")
+        spark.sql(f"ALTER TABLE {here} UNSET TBLPROPERTIES IF EXISTS ('{_COMPLETE}')")
+    if spark.catalog.tableExists(here):
+        for old in olds:
+            spark.sql(f"DROP TABLE IF EXISTS {_quoted(*database, old)}")
+
+
+def _append_to_table(spark: SparkSession, here: str, beside: str, write, refuse: Callable[[], None]) -> None:
+    """Let ``write`` fill a table of the same shape beside the table, then move
+    the part files in, unless ``refuse`` raises."""
+    folder = Folder(spark, _location(spark, here))
+    folder.recover()
+    new = folder.sibling("new")
+    spark.sql(f"CREATE TABLE {beside} LIKE {here} LOCATION '{new.toString()}'")
+    try:
+        write(beside)  # Spark checks and casts as it would for the table itself
+        refuse()
+    except Exception:
+        spark.sql(f"DROP TABLE {beside}")
+        folder.fs.delete(new, True)
+        raise
+    spark.sql(f"DROP TABLE {beside}")  # an external one: its files stay
+    folder.commit(new, ADD)
+    spark.sql(f"REFRESH TABLE {here}")
+    if any(c.isPartition for c in spark.catalog.listColumns(here)):
+        spark.sql(f"ALTER TABLE {here} RECOVER PARTITIONS")
+
+
 def write_table(
     df: DataFrame,
     table_name: str,
@@ -184,33 +227,72 @@ def write_table(
     mode: str = "overwrite",
     options: Mapping[str, Any] | None = None,
     guard_empty: bool = True,
+    bucket_by: tuple[int, list[str]] | None = None,
 ) -> str:
     """``df`` to a table of the session catalog; the database must exist. An
-    overwrite fills a new table and swaps the names. Returns the full name."""
+    overwrite fills a new table and swaps the names; an append moves its files
+    in when they are complete. ``bucket_by`` (number, columns) deals a new table's
+    rows out by a hash of the columns, sorted by them within a bucket. Returns
+    the full name."""
     full_name = f"{database}.{table_name}" if database else table_name
     empty = f"Cannot load empty DataFrame as table {full_name}"
-    parts = [*([database] if database else []), table_name]
+    above = [database] if database else []
     with _reported(f"as table {full_name}"):
         m = _mode(mode)
         _check_format(df, fmt)
-        spark, here = df.sparkSession, _quoted(*parts)
+        spark, here = df.sparkSession, _quoted(*above, table_name)
+        if not database or spark.catalog.databaseExists(database):
+            _recover_tables(spark, above, table_name)
         there = spark.catalog.tableExists(here)
         if there and m == "ignore":
             return full_name
+        tag = uuid.uuid4().hex[:12]
+        beside = _quoted(*above, f"{table_name}__new_{tag}")
         counted, seen = _counted(df)
-        if m != "overwrite" or not there:
-            spot = here
-            _writer(counted, fmt, m, options).saveAsTable(spot)
-        else:
-            spot = _quoted(*parts[:-1], f"{table_name}__new_{uuid.uuid4().hex[:12]}")
-            _writer(counted, fmt, "errorifexists", options).saveAsTable(spot)
-        if guard_empty and not seen.get.get("rows"):
+
+        def refuse_empty() -> None:
+            if guard_empty and not seen.get.get("rows"):
+                raise LoadingError(empty)
+
+        writer = _writer(counted, fmt, "append" if m == "append" else "errorifexists", options)
+        if bucket_by:
+            writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
+        if there and m == "append" and fmt in _FILE_FORMATS:
+            _append_to_table(spark, here, beside, writer.saveAsTable, refuse_empty)
+            return full_name
+        spot = beside if there and m == "overwrite" else here
+        writer.saveAsTable(spot)
+        try:
+            refuse_empty()
+        except LoadingError:
             if spot != here or not there:
                 spark.sql(f"DROP TABLE {spot}")
-            raise LoadingError(empty)
+            raise
         if spot != here:
-            old = _quoted(*parts[:-1], f"{table_name}__old_{uuid.uuid4().hex[:12]}")
-            spark.sql(f"ALTER TABLE {here} RENAME TO {old}")
-            spark.sql(f"ALTER TABLE {spot} RENAME TO {here}")
-            spark.sql(f"DROP TABLE {old}")
+            spark.sql(f"ALTER TABLE {spot} SET TBLPROPERTIES ('{_COMPLETE}' = 'true')")
+            _recover_tables(spark, above, table_name)
         return full_name
+
+
+def write_keyed_table(
+    df: DataFrame,
+    table_name: str,
+    keys: list[str],
+    database: str | None = None,
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+    buckets: int | None = None,
+    options: Mapping[str, Any] | None = None,
+) -> str:
+    """A table with one row per key of ``df``, bucketed and sorted by the keys,
+    so that a later ``dedup`` or join by them plans no shuffle. An append adds
+    rows of keys that may be there already; ``dedup`` over the table merges them.
+
+    Rows of a key combine before they are dealt out, so a hot key is one row of
+    its bucket. Buckets are as many as the shuffle's partitions unless given; then a
+    bucket is one file a write."""
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, n = dedup(df, keys), buckets or shuffled
+    if n != shuffled:
+        rows = rows.repartition(n, *(F.col(f"`{k}`") for k in keys))
+    return write_table(rows, table_name, database, fmt, mode, options, bucket_by=(n, keys))

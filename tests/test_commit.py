@@ -1,0 +1,261 @@
+"""Commits that are cut off at any move, partition swaps, staged appends."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from argent.errors import LoadingError
+from argent.operators.stages import dedup
+from argent.sinks import recover, write_keyed_table, write_path, write_table
+from argent.sinks.commit import Folder
+from argent.sources import read_parquet
+
+
+class Killed(BaseException):
+    """A lost driver: no handler of the library runs after it."""
+
+
+def _rows(spark, p, n=4, start=0):
+    return spark.range(start, start + n).select(F.lit(p).alias("p"), F.col("id").alias("v"))
+
+
+def _files(path):
+    root = path.removeprefix("file:")
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names)
+
+
+def _beside(path):
+    root = path.removeprefix("file:")
+    return [f for f in os.listdir(os.path.dirname(root)) if f.startswith(".") and not f.endswith(".crc")]
+
+
+def _values(df):
+    return sorted((r.p, r.v) for r in df.collect())
+
+
+def _killed_before(monkeypatch, call):
+    """Lose the driver before the call-th change of the filesystem by a commit."""
+    left = [call]
+
+    class Watched:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            act = getattr(self.fs, name)
+            if name not in ("rename", "delete", "mkdirs"):
+                return act
+
+            def counted(*args):
+                left[0] -= 1
+                if left[0] == 0:
+                    raise Killed
+                return act(*args)
+
+            return counted
+
+    plain = Folder.commit
+
+    def commit(self, *args):
+        self.fs = Watched(self.fs)
+        return plain(self, *args)
+
+    monkeypatch.setattr(Folder, "commit", commit)
+
+
+@pytest.mark.parametrize("kind", ["replace", "partitions", "append"])
+@pytest.mark.parametrize("call", range(1, 13))
+def test_a_swap_cut_off_anywhere_is_finished_or_undone(spark, workdir, monkeypatch, kind, call):
+    next_is = "read" if call % 3 else "write"
+    p = f"{workdir}/out"
+    old = _rows(spark, "x").union(_rows(spark, "y")).coalesce(1)
+    new = _rows(spark, "x", 2, 100).union(_rows(spark, "z", 1, 200)).coalesce(1)
+    by = ["p"]
+    write_path(old, p, partition_by=by)
+    mode = "append" if kind == "append" else "overwrite"
+    options = {"partitionOverwriteMode": "dynamic"} if kind == "partitions" else {}
+    with monkeypatch.context() as m:
+        _killed_before(m, call)
+        try:
+            write_path(new, p, mode=mode, partition_by=by, options=options)
+            whole = True
+        except Killed:
+            whole = False
+    before = _values(old)
+    after = {
+        "replace": _values(new),
+        "append": sorted(before + _values(new)),
+        "partitions": sorted([r for r in before if r[0] != "x"] + _values(new)),
+    }[kind]
+    decided = whole or ".out.commit" in _beside(p)
+    if next_is == "read":
+        assert _values(read_parquet(spark, p)) == (after if decided or _values(spark.read.parquet(p)) == after else before)
+        assert ".out.commit" not in _beside(p)
+    else:
+        more = _rows(spark, "x", 1, 300).coalesce(1)
+        write_path(more, p, mode="append", partition_by=by)
+        got = _values(spark.read.parquet(p))
+        assert got in (sorted(before + _values(more)), sorted(after + _values(more)))
+        if decided:
+            assert got == sorted(after + _values(more))
+    if whole:
+        assert _beside(p) == []
+
+
+def test_a_failed_move_puts_the_old_data_back(spark, workdir, monkeypatch):
+    p = f"{workdir}/out"
+    write_path(_rows(spark, "x"), p)
+    calls = []
+
+    def rename(self, source, target):
+        calls.append(target)
+        if len(calls) == 3:  # marker, old aside, new in place
+            raise LoadingError("no")
+        assert self.fs.rename(source, target)
+
+    with monkeypatch.context() as m, pytest.raises(LoadingError, match="no"):
+        m.setattr(Folder, "_rename", rename)
+        write_path(_rows(spark, "z"), p)
+    assert _values(spark.read.parquet(p)) == _values(_rows(spark, "x")) and _beside(p) == []
+
+
+@pytest.mark.parametrize("how", ["option", "session"])
+def test_dynamic_overwrite_leaves_other_partitions(spark, workdir, how):
+    p = f"{workdir}/out"
+    write_path(_rows(spark, "x").union(_rows(spark, "y")), p, partition_by=["p"])
+    kept = [f for f in _files(p) if f.startswith("p=y")]
+    options = {"partitionoverwritemode": "DYNAMIC"} if how == "option" else None
+    if how == "session":
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_path(_rows(spark, "x", 1, 50), p, partition_by=["p"], options=options)
+        assert _values(spark.read.parquet(p)) == [("x", 50), *_values(_rows(spark, "y"))]
+        assert [f for f in _files(p) if f.startswith("p=y")] == kept
+        with pytest.raises(LoadingError, match="empty"):
+            write_path(_rows(spark, "y").limit(0), p, partition_by=["p"], options=options)
+        with pytest.raises(LoadingError, match="laid out by"):
+            write_path(_rows(spark, "y"), p, partition_by=["v"], options=options)
+        assert _values(spark.read.parquet(p)) == [("x", 50), *_values(_rows(spark, "y"))]
+        # Without partition columns the whole folder goes, as in Spark.
+        write_path(_rows(spark, "q", 1), f"{workdir}/flat")
+        write_path(_rows(spark, "r", 1), f"{workdir}/flat", options=options)
+        assert _values(spark.read.parquet(f"{workdir}/flat")) == [("r", 0)]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_two_levels_and_odd_values(spark, workdir):
+    p = f"{workdir}/out"
+    df = spark.createDataFrame([("a b", "10:30", 1), ("a/b", "x=y", 2), (None, "%", 3), ("ü", "", 4)], "p string, q string, v int")
+    write_path(df, p, partition_by=["p", "q"])
+    new = spark.createDataFrame([("a/b", "x=y", 20), (None, "%", 30), ("a b", "11", 10)], "p string, q string, v int")
+    write_path(new, p, partition_by=["p", "q"], options={"partitionOverwriteMode": "dynamic"})
+    write_path(new.filter("v = 30"), p, mode="append", partition_by=["p", "q"])
+    assert sorted(r.v for r in spark.read.parquet(p).collect()) == [1, 4, 10, 20, 30, 30]
+
+
+def test_empty_append_changes_nothing(spark, workdir):
+    p = f"{workdir}/out"
+    write_path(_rows(spark, "x"), p)
+    before = _files(p)
+    with pytest.raises(LoadingError, match="Cannot load empty DataFrame"):
+        write_path(_rows(spark, "x").filter("v > 99"), p, mode="append")
+    assert _files(p) == before and _beside(p) == []
+    write_path(_rows(spark, "x").filter("v > 99"), p, mode="append", guard_empty=False)
+    assert spark.read.parquet(p).count() == 4
+
+
+def test_append_to_an_own_input_and_to_nothing(spark, workdir):
+    p = f"{workdir}/out"
+    write_path(_rows(spark, "x"), p, mode="append")
+    write_path(spark.read.parquet(p), p, mode="append")
+    assert spark.read.parquet(p).count() == 8
+    with pytest.raises(LoadingError, match="laid out by"):
+        write_path(_rows(spark, "x"), p, mode="append", partition_by=["p"])
+    write_path(_rows(spark, "x"), f"{workdir}/csv", fmt="csv", mode="append")
+    write_path(_rows(spark, "x"), f"{workdir}/csv", fmt="csv", mode="append")
+    assert spark.read.csv(f"{workdir}/csv").count() == 8
+
+
+def test_recover_without_a_commit(spark, workdir):
+    assert not recover(spark, f"{workdir}/none") and not recover(spark, f"{workdir}/*") and not recover(spark, "/")
+    assert not recover(spark, "no-such-scheme://x/y")
+
+
+@pytest.fixture
+def database(spark, workdir):
+    name = "argent_commit_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{workdir}/db'")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_table_appends_are_staged(spark, database):
+    full = write_table(_rows(spark, "x"), "t", database)
+    files = spark.table(full).inputFiles()
+    with pytest.raises(LoadingError, match="empty"):
+        write_table(_rows(spark, "x").limit(0), "t", database, mode="append")
+    assert spark.table(full).inputFiles() == files
+    write_table(_rows(spark, "y").select("v", "p"), "t", database, mode="append")  # by name
+    assert _values(spark.table(full)) == _values(_rows(spark, "x").union(_rows(spark, "y")))
+    for bad in (_rows(spark, "x").select("v"), _rows(spark, "x").withColumn("more", F.lit(1))):
+        with pytest.raises(LoadingError, match="Failed to load data as table"):
+            write_table(bad, "t", database, mode="append")
+    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+
+
+@pytest.mark.parametrize("call", range(1, 7))
+def test_a_table_swap_cut_off_anywhere(spark, database, monkeypatch, call):
+    full = write_table(_rows(spark, "x"), "t", database)
+    left, plain = [call], type(spark).sql
+
+    def sql(self, text, *args, **options):
+        if text.startswith(("ALTER", "DROP")):
+            left[0] -= 1
+            if left[0] == 0:
+                raise Killed
+        return plain(self, text, *args, **options)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", sql)
+        try:
+            write_table(_rows(spark, "z"), "t", database)
+        except Killed:
+            pass
+    write_table(_rows(spark, "q"), "t", database, mode="append")
+    got = _values(spark.table(full))
+    assert got in ([*_values(_rows(spark, "q")), *_values(_rows(spark, p))] for p in "xz")
+    if call > 1:
+        assert ("z", 0) in got
+    write_table(_rows(spark, "r"), "t", database)
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    assert _values(spark.table(full)) == _values(_rows(spark, "r"))
+    assert all(n == "t" or n.startswith("t__new_") for n in names), names  # an undeclared one may be somebody's
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_keyed_table_plans_no_exchange(spark, database):
+    first = spark.range(500).select((F.col("id") % 50).cast("string").alias("k"), F.col("id").alias("v"))
+    second = spark.range(30, 80).select(F.when(F.col("id") < 79, F.col("id").cast("string")).alias("k"), (-F.col("id")).alias("v"))
+    for buckets in (None, 3):
+        full = write_keyed_table(first, f"keyed{buckets}", ["k"], database, buckets=buckets)
+        assert spark.table(full).count() == 50
+        if buckets:
+            assert len(spark.table(full).inputFiles()) <= buckets
+        write_keyed_table(second, f"keyed{buckets}", ["k"], database, mode="append", buckets=buckets)
+        merged = dedup(spark.table(full), ["k"])
+        assert _exchanges(merged) == 0
+        want = dedup(dedup(first, ["k"]).union(second), ["k"])
+        assert sorted(map(tuple, merged.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+        joined = merged.join(spark.table(full).select("k", F.col("v").alias("w")).hint("merge"), "k")
+        assert _exchanges(joined) == 0 and joined.count() == 99  # every row but that of no key
+
+
+def test_keyed_table_holds_a_hot_key_once(spark, database):
+    hot = spark.range(0, 30_000, numPartitions=6).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    full = write_keyed_table(hot, "hot", ["k"], database)
+    assert spark.table(full).count() == 20_001
