@@ -24,7 +24,7 @@ from argent.functions.exprs import (
 
 log = logging.getLogger(__name__)
 
-_ROW_NUMBER, _KEPT = "__argent_rn", "__argent_kept"
+_ROW_NUMBER, _KEPT, _LATER = "__argent_rn", "__argent_kept", "__argent_later"
 
 
 def quote(name: str) -> str:
@@ -54,9 +54,10 @@ def _find_field(
 
 
 def conform(
-    df: DataFrame, schema: T.StructType | None, date_format: str | None = None
+    df: DataFrame, schema: T.StructType | None, date_format: str | None = None, also: Sequence[str] = ()
 ) -> DataFrame:
-    """Select exactly ``schema``'s columns, in its order, cast leniently.
+    """Select exactly ``schema``'s columns, in its order, cast leniently, and
+    those named in ``also`` as they are.
 
     Extra columns are dropped (column pruning then reaches the scan); a
     missing column raises ``ProcessingError``. Name lookup follows Spark's
@@ -83,7 +84,7 @@ def conform(
             f"Missing columns for schema: {', '.join(sorted(missing))}. "
             f"Found columns: {', '.join(df.columns)}"
         )
-    return df.select(*exprs)
+    return df.select(*exprs, *(col(n) for n in also))
 
 
 def _present(df: DataFrame, names: Sequence[str], what: str) -> list[str]:
@@ -156,20 +157,28 @@ def _comparable(field: T.StructField) -> Column:
     raise ProcessingError(f"Column {field.name!r} cannot be ordered: {dtype.simpleString()}")
 
 
-def _first_of_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def first_of_each(
+    df: DataFrame, keys: Sequence[str], valid: Column | None = None, counts: Sequence[Column] = (), aside: Sequence[str] = ()
+) -> DataFrame:
     """The smallest row of each key, compared field by field, ascending, NULLS
-    FIRST. An aggregate, so rows of a key combine before the shuffle."""
-    rest = [f for f in df.schema.fields if f.name not in set(keys)]
-    if not rest:
+    FIRST; with ``valid``, rows for which it holds come before all others. An
+    aggregate, so rows of a key combine before the shuffle. ``counts`` are
+    named aggregates over all rows of the key, added as columns; columns named
+    in ``aside`` serve them alone and are no part of the row."""
+    rest = [f for f in df.schema.fields if f.name not in {*keys, *aside}]
+    if not rest and not counts:
         return df.dropDuplicates(list(keys))
-    row = F.struct(*[col(f.name) for f in rest])
+    later = [] if valid is None else [F.coalesce(~valid, F.lit(True)).alias(_LATER)]
+    row = F.struct(*later, *[col(f.name) for f in rest]) if rest else F.struct(F.lit(0))
     if all(_orderable(f.dataType) for f in rest):
         least = F.min(row)
     else:
-        least = F.min_by(row, F.struct(*[_comparable(f) for f in rest]))
-    kept = df.groupBy(*[col(k) for k in keys]).agg(least.alias(_KEPT))
+        least = F.min_by(row, F.struct(*later, *[_comparable(f) for f in rest]))
+    kept = df.groupBy(*[col(k) for k in keys]).agg(least.alias(_KEPT), *counts)
+    added = [n for n in kept.columns if n not in (*keys, _KEPT)]
     return kept.select(
-        *[col(n) if n in set(keys) else F.col(_KEPT).getField(n).alias(n) for n in df.columns]
+        *[col(n) if n in set(keys) else F.col(_KEPT).getField(n).alias(n) for n in df.columns if n not in set(aside)],
+        *map(col, added),
     )
 
 
@@ -177,6 +186,7 @@ def dedup(
     df: DataFrame,
     keys: Sequence[str] | None = None,
     order_by: Sequence[Column] | None = None,
+    valid: Column | None = None,
 ) -> DataFrame:
     """One row per key; whole-row distinct when ``keys`` is None.
 
@@ -186,6 +196,8 @@ def dedup(
     aggregate: a key holding a third of the table ships one row per map
     partition through the shuffle. With ``order_by`` the first row in that
     order is kept, by a window. NULL keys form one group.
+    With ``valid`` a row for which it holds is kept before any other of its key,
+    at the same price: it is the first field of the comparison.
     """
     if not keys:
         return df.dropDuplicates()
@@ -193,7 +205,9 @@ def dedup(
     if missing:
         raise ProcessingError(f"Dedup key columns not found: {', '.join(missing)}")
     if order_by is None:
-        return _first_of_each(df, keys)
+        return first_of_each(df, keys, valid)
+    if valid is not None:
+        order_by = [F.coalesce(valid, F.lit(False)).desc(), *order_by]
     w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order_by)
     return (
         df.withColumn(_ROW_NUMBER, F.row_number().over(w))

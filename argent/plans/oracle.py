@@ -57,22 +57,27 @@ def _fill(x: str) -> str:
 
 # --- customers -------------------------------------------------------------
 
-def customer_conformed_cte() -> str:
-    return f"""bronze AS ({bronze_customers_sql()}),
+def _numbered(bronze: str, also: str) -> str:
+    """The bronze rows, with a number if it is among the columns carried along."""
+    return f"SELECT row_number() OVER () AS rid, * FROM ({bronze}) b" if also else bronze
+
+
+def customer_conformed_cte(also: str = "") -> str:
+    return f"""bronze AS ({_numbered(bronze_customers_sql(), also)}),
 conformed AS (
-  SELECT customer_id, gender, {_int_from_text('age')} AS age, payment_method FROM bronze)"""
+  SELECT customer_id, gender, {_int_from_text('age')} AS age, payment_method{also} FROM bronze)"""
 
 
-def customer_cleaned_cte() -> str:
-    return f"""{customer_conformed_cte()},
+def customer_cleaned_cte(also: str = "") -> str:
+    return f"""{customer_conformed_cte(also)},
 trimmed AS (
   SELECT trim(customer_id) AS customer_id, trim(gender) AS gender, age,
-         trim(payment_method) AS payment_method FROM conformed),
+         trim(payment_method) AS payment_method{also} FROM conformed),
 filled AS (
   SELECT customer_id, {_fill('gender')} AS gender, coalesce(age, 0) AS age,
-         {_fill('payment_method')} AS payment_method FROM trimmed),
+         {_fill('payment_method')} AS payment_method{also} FROM trimmed),
 cleaned AS (
-  SELECT customer_id, {_std('gender', _GENDER_LIST)} AS gender,
+  SELECT customer_id{also}, {_std('gender', _GENDER_LIST)} AS gender,
          CASE WHEN age IS NULL OR age < 0 OR age > 120 THEN 0 ELSE age END AS age,
          payment_method,
          NOT (upper(trim(gender)) IN ({_GENDER_LIST})) AS bad_gender,
@@ -104,27 +109,28 @@ SELECT
 
 # --- sales -----------------------------------------------------------------
 
-def sales_conformed_cte(parse_first: bool = True) -> str:
-    return f"""bronze AS ({bronze_sales_sql()}),
+def sales_conformed_cte(parse_first: bool = True, also: str = "") -> str:
+    return f"""bronze AS ({_numbered(bronze_sales_sql(), also)}),
 conformed AS (
   SELECT invoice_no, customer_id, category, {_int_from_text('quantity')} AS quantity,
          TRY_CAST(price AS DOUBLE) AS price,
          {_date_from_text('invoice_date', parse_first)} AS invoice_date,
-         shopping_mall FROM bronze)"""
+         shopping_mall{also} FROM bronze)"""
 
 
-def sales_cleaned_cte(parse_first: bool = True) -> str:
-    return f"""{sales_conformed_cte(parse_first)},
+def sales_cleaned_cte(parse_first: bool = True, also: str = "", valid_first: bool = False) -> str:
+    lead = f"coalesce({SALES_VALID}, false) DESC, " if valid_first else ""
+    return f"""{sales_conformed_cte(parse_first, also)},
 trimmed AS (
   SELECT trim(invoice_no) AS invoice_no, trim(customer_id) AS customer_id, trim(category) AS category,
-         quantity, price, invoice_date, trim(shopping_mall) AS shopping_mall FROM conformed),
+         quantity, price, invoice_date, trim(shopping_mall) AS shopping_mall{also} FROM conformed),
 filled AS (
   SELECT invoice_no, customer_id, {_fill('category')} AS category,
          coalesce(CAST(quantity AS DOUBLE), 0.0::DOUBLE) AS quantity,
          CASE WHEN price IS NULL OR isnan(price) THEN 0.0::DOUBLE ELSE price END AS price,
-         invoice_date, {_fill('shopping_mall')} AS shopping_mall FROM trimmed),
+         invoice_date, {_fill('shopping_mall')} AS shopping_mall{also} FROM trimmed),
 cleaned AS (
-  SELECT invoice_no, customer_id, {_std('category', _CATEGORY_LIST)} AS category,
+  SELECT invoice_no, customer_id{also}, {_std('category', _CATEGORY_LIST)} AS category,
          CASE WHEN quantity <= 0 THEN 1.0::DOUBLE ELSE quantity END AS quantity,
          CASE WHEN price < 0 THEN 0.0::DOUBLE ELSE price END AS price,
          invoice_date, {_strip('shopping_mall')} AS shopping_mall,
@@ -136,7 +142,7 @@ cleaned AS (
 deduped AS (
   SELECT invoice_no, customer_id, category, quantity, price, invoice_date, shopping_mall FROM cleaned
   QUALIFY row_number() OVER (PARTITION BY invoice_no
-    ORDER BY customer_id NULLS FIRST, category NULLS FIRST, quantity NULLS FIRST, price NULLS FIRST,
+    ORDER BY {lead}customer_id NULLS FIRST, category NULLS FIRST, quantity NULLS FIRST, price NULLS FIRST,
              invoice_date NULLS FIRST, shopping_mall NULLS FIRST) = 1)"""
 
 
@@ -146,12 +152,50 @@ SALES_VALID = (
 )
 
 
-def sales_pipeline(parse_first: bool = True) -> str:
-    return f"WITH {sales_cleaned_cte(parse_first)}\nSELECT * FROM deduped WHERE {SALES_VALID}"
+def sales_pipeline(parse_first: bool = True, valid_first: bool = False) -> str:
+    return f"WITH {sales_cleaned_cte(parse_first, valid_first=valid_first)}\nSELECT * FROM deduped WHERE {SALES_VALID}"
+
+
+def sales_pipeline_valid_first() -> str:
+    return sales_pipeline(valid_first=True)
+
+
+def sales_quality_valid_first() -> str:
+    return sales_quality(valid_first=True)
+
+
+def sales_split_silver() -> str:
+    return sales_pipeline()
+
+
+def _rejects(cleaned: str, keys: str, columns: str, flags: dict[str, str], valid: str, invalid_name: str) -> str:
+    """Bronze rows with the names of all counters that count them. The kept row
+    of a key is the first by the cleaned columns, then by those it came with."""
+    order = ", ".join(f"{t}.{c} NULLS FIRST" for t in ("c", "b") for c in columns.split(", ") if (t, c) != ("c", keys))
+    named = "".join(f"CASE WHEN {f} THEN '{name}' END, " for name, f in flags.items())
+    return f"""WITH {cleaned},
+judged AS (
+  SELECT c.*, row_number() OVER (PARTITION BY c.{keys} ORDER BY {order}) AS nth FROM cleaned c JOIN bronze b ON c.rid = b.rid),
+reasoned AS (
+  SELECT rid, concat_ws(',', {named}CASE WHEN nth > 1 THEN 'duplicates_removed'
+    WHEN NOT coalesce({valid}, false) THEN '{invalid_name}' END) AS reasons FROM judged)
+SELECT {columns}, reasons FROM bronze JOIN reasoned ON bronze.rid = reasoned.rid WHERE reasons <> ''"""
+
+
+def customer_rejects() -> str:
+    flags = {"invalid_genders": "bad_gender", "invalid_ages": "bad_age"}
+    columns = "customer_id, gender, age, payment_method"
+    return _rejects(customer_cleaned_cte(", rid"), "customer_id", columns, flags, CUSTOMER_VALID, "invalid_customers")
 
 
-def sales_quality() -> str:
-    return f"""WITH {sales_cleaned_cte()}
+def sales_rejects() -> str:
+    flags = {"null_invoice_dates": "null_date", "invalid_quantities": "bad_quantity", "invalid_prices": "bad_price", "invalid_categories": "bad_category"}
+    columns = ", ".join(_SALES_TEXT_COLS)
+    return _rejects(sales_cleaned_cte(also=", rid"), "invoice_no", columns, flags, SALES_VALID, "invalid_sales")
+
+
+def sales_quality(valid_first: bool = False) -> str:
+    return f"""WITH {sales_cleaned_cte(valid_first=valid_first)}
 SELECT
   (SELECT count(*) FROM cleaned) AS rows_in,
   (SELECT count(*) FROM cleaned) - (SELECT count(*) FROM deduped) AS duplicates_removed,
@@ -332,6 +376,22 @@ def csv_scan_permissive() -> str:
             f"CASE WHEN p_partkey % 10 IN (0, 1) THEN {line} END AS _corrupt_record FROM part")
 
 
+def _routed_lines() -> str:
+    """Part rows as the lines they were written as, and whether they fit."""
+    return """SELECT *, CASE p_partkey % 10 WHEN 0 THEN CAST(p_partkey AS VARCHAR) || ',' || p_name
+   WHEN 1 THEN CAST(p_partkey AS VARCHAR) || ',' || p_name || ',' || CAST(p_size AS VARCHAR) || ',extra'
+   WHEN 2 THEN CAST(p_partkey AS VARCHAR) || ',' || p_name || ',big' END AS bad_line FROM part"""
+
+
+def csv_good_records() -> str:
+    return f"SELECT p_partkey AS id, p_name AS name, p_size AS size FROM ({_routed_lines()}) l WHERE bad_line IS NULL"
+
+
+def csv_bad_records() -> str:
+    return f"""SELECT CAST(p_partkey % 2 AS VARCHAR) AS feed, true AS named, bad_line AS line, p_partkey AS id
+FROM ({_routed_lines()}) l WHERE bad_line IS NOT NULL"""
+
+
 def parquet_scan() -> str:
     return "SELECT * FROM orders"
 
@@ -384,6 +444,15 @@ def sink_ignore() -> str:
     return customer_pipeline()
 
 
+def sink_partition_overwrite() -> str:
+    return f"""SELECT * REPLACE (CASE WHEN category IN ('BOOKS', 'SHOES') THEN price * 2 ELSE price END AS price)
+FROM ({sales_pipeline()}) s"""
+
+
+def sink_keyed_table() -> str:
+    return dedup_by_key()
+
+
 def sink_table() -> str:
     return customer_pipeline()
 

@@ -7,7 +7,9 @@ triggers a Spark job; callers decide when to act (a write, a count, ...).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 
 from argent.errors import ProcessingError
 from argent.functions.exprs import INVOICE_DATE_FORMAT
@@ -16,6 +18,7 @@ from argent.operators.sales import (
     clean_category,
     clean_mall_names,
     parse_invoice_date,
+    sale_valid,
     validate_numeric_fields,
     validate_sales,
 )
@@ -23,12 +26,14 @@ from argent.operators.stages import conform, dedup, fill_missing, trim_strings
 from argent.schemas import FILLED, KEY, NUMBER, TEXT, CustomerColumns, Entity, SalesColumns
 
 DATE_MODES = ("parse_first", "cast_first")
+KEEPS = ("first", "valid_first")
 
 
-def customer_prepare(df: DataFrame, columns: Entity | None = None) -> DataFrame:
-    """conform -> trim -> fill: the frame the customer rules start from."""
+def customer_prepare(df: DataFrame, columns: Entity | None = None, also: Sequence[str] = ()) -> DataFrame:
+    """conform -> trim -> fill: the frame the customer rules start from, with
+    the columns named in ``also`` as they are."""
     c = columns or CustomerColumns()
-    out = conform(df, c.schema())
+    out = conform(df, c.schema(), also=also)
     out = trim_strings(out, c.having(TEXT))
     return fill_missing(
         out,
@@ -61,21 +66,22 @@ def customer_pipeline(df: DataFrame, columns: Entity | None = None) -> DataFrame
         raise ProcessingError(f"Failed to process customer data: {e}") from e
 
 
-def _sales_conform(df: DataFrame, c: SalesColumns, date_mode: str) -> DataFrame:
+def _sales_conform(df: DataFrame, c: SalesColumns, date_mode: str, also: Sequence[str]) -> DataFrame:
     if date_mode not in DATE_MODES:
         raise ProcessingError(f"date_mode must be one of {DATE_MODES}, got {date_mode!r}")
     # parse_first: text dates in dd-MM-yyyy are parsed during the cast, with an
     # ISO fallback. cast_first: a plain cast, which turns dd-MM-yyyy into NULL.
     fmt = INVOICE_DATE_FORMAT if date_mode == "parse_first" else None
-    return conform(df, c.schema(), date_format=fmt)
+    return conform(df, c.schema(), date_format=fmt, also=also)
 
 
 def sales_prepare(
-    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first"
+    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first", also: Sequence[str] = ()
 ) -> DataFrame:
-    """conform -> trim -> fill: the frame the sales rules start from."""
+    """conform -> trim -> fill: the frame the sales rules start from, with the
+    columns named in ``also`` as they are."""
     c = columns or SalesColumns()
-    out = _sales_conform(df, c, date_mode)
+    out = _sales_conform(df, c, date_mode, also)
     out = trim_strings(out, c.having(TEXT))
     return fill_missing(
         out,
@@ -101,15 +107,26 @@ def sales_clean(
     return sales_rules(sales_prepare(df, c, date_mode), c)
 
 
+def preferred(keep: str, valid: Column) -> Column | None:
+    """What the dedup looks for first under ``keep``."""
+    if keep not in KEEPS:
+        raise ProcessingError(f"keep must be one of {KEEPS}, got {keep!r}")
+    return valid if keep == "valid_first" else None
+
+
 def sales_pipeline(
-    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first"
+    df: DataFrame, columns: Entity | None = None, date_mode: str = "parse_first", keep: str = "first"
 ) -> DataFrame:
     """conform -> trim -> fill -> date -> quantity/price -> category -> mall ->
     dedup(invoice_no) -> filter. ``quantity`` leaves as DOUBLE (its fill
-    default is 0.0)."""
+    default is 0.0).
+
+    The source flow removes duplicates before it validates, so an invoice whose
+    kept row lacks a customer is lost although another row has one;
+    ``keep="valid_first"`` keeps a valid row of each invoice if there is one."""
     c = columns or SalesColumns()
     try:
-        out = dedup(sales_clean(df, c, date_mode), c.having(KEY))
+        out = dedup(sales_clean(df, c, date_mode), c.having(KEY), valid=preferred(keep, sale_valid(c)))
         return validate_sales(out, c)
     except ProcessingError:
         raise

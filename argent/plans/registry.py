@@ -22,11 +22,12 @@ from argent.plans.bronze import bronze_customers, bronze_sales, table
 from argent.plans.job import bronze_to_silver
 from argent.plans.pipelines import customer_pipeline, sales_pipeline
 from argent.plans.quality import customer_quality, observed_sales_pipeline, sales_quality
+from argent.plans.rejects import Split, split_customers, split_sales
 from argent.plans.staging import stage_csv, stage_parquet, stage_text
 from argent.schemas import KEY, NUMBER, CustomerColumns, SalesColumns
 from argent.session import scratch_path, shared_dir
-from argent.sinks.writers import write_path, write_table
-from argent.sources.scans import read_csv, read_csv_validated, read_parquet, read_parquet_validated
+from argent.sinks.writers import write_keyed_table, write_path, write_table
+from argent.sources.scans import read_csv, read_csv_validated, read_parquet, read_parquet_validated, route_bad_records
 
 CC, SC = CustomerColumns(), SalesColumns()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +111,35 @@ def q_csv_scan_permissive(s: SparkSession, d: str) -> DataFrame:
     return read_csv(s, path, header=False, schema=PERMISSIVE_SCHEMA)
 
 
+ROUTED_SCHEMA = "id BIGINT, name STRING, size INT"
+
+
+def _routed(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad records) of two feeds with malformed lines in both."""
+    k, name, size = F.col("p_partkey"), F.col("p_name"), F.col("p_size").cast("string")
+    key = k.cast("string")
+    line = (
+        F.when(k % 10 == 0, F.concat_ws(",", key, name))  # too few fields
+        .when(k % 10 == 1, F.concat_ws(",", key, name, size, F.lit("extra")))  # too many
+        .when(k % 10 == 2, F.concat_ws(",", key, name, F.lit("big")))  # no number
+        .otherwise(F.concat_ws(",", key, name, size))
+    )
+    root = scratch_path(s, "feeds")
+    table(s, d, "part").select(line.alias("value"), (k % 2).alias("feed")).write.partitionBy("feed").text(root)
+    bad = scratch_path(s, "bad-records")
+    good = route_bad_records(s, root, ROUTED_SCHEMA, bad, header=False, options={"recursiveFileLookup": "true"})
+    return good, s.read.parquet(bad)
+
+
+def q_csv_good_records(s: SparkSession, d: str) -> DataFrame:
+    return _routed(s, d)[0]
+
+
+def q_csv_bad_records(s: SparkSession, d: str) -> DataFrame:
+    feed = F.regexp_extract("file_path", r"/feed=(\d+)/", 1)
+    return _routed(s, d)[1].select(feed.alias("feed"), F.col("file_name").startswith("part-").alias("named"), "line", "parsed.id")
+
+
 def q_parquet_scan(s: SparkSession, d: str) -> DataFrame:
     return read_parquet(s, f"{d}/orders.parquet")
 
@@ -204,17 +234,45 @@ def q_sink_ignore(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(dest)
 
 
+def q_sink_partition_overwrite(s: SparkSession, d: str) -> DataFrame:
+    """Sales by category; then two of the categories once more, at twice the
+    price, over their own partitions only."""
+    dest = scratch_path(s, "silver-sales-by-category")
+    silver = _silver_sales(s, d)
+    write_path(silver, dest, partition_by=[SC.category])
+    doubled = silver.filter(F.col(SC.category).isin("BOOKS", "SHOES")).withColumn(SC.price, F.col(SC.price) * 2)
+    write_path(doubled, dest, partition_by=[SC.category], options={"partitionOverwriteMode": "dynamic"})
+    return s.read.parquet(dest).select(*silver.columns)
+
+
 SILVER_DATABASE = "argent_silver"
 
 
-def q_sink_table(s: SparkSession, d: str) -> DataFrame:
+def _silver_name(s: SparkSession, label: str) -> str:
     location = f"{shared_dir(s)}/argent/warehouse/{SILVER_DATABASE}.db"
     s.sql(f"CREATE DATABASE IF NOT EXISTS {SILVER_DATABASE} LOCATION '{location}'")
-    name = f"customers_{uuid.uuid4().hex[:12]}"
-    full = write_table(_silver_customers(s, d), name, SILVER_DATABASE)
+    return f"{label}_{uuid.uuid4().hex[:12]}"
+
+
+def q_sink_table(s: SparkSession, d: str) -> DataFrame:
+    full = write_table(_silver_customers(s, d), _silver_name(s, "customers"), SILVER_DATABASE)
     return s.table(full)
 
 
+def q_sink_keyed_table(s: SparkSession, d: str) -> DataFrame:
+    """Two deliveries of sales, dealt out by invoice as they are written, and
+    merged without a shuffle."""
+    sales, name = trim_strings(bronze_sales(s, d)), _silver_name(s, "sales")
+    late = F.col(SC.shopping_mall).isNull()
+    write_keyed_table(sales.filter(~late), name, SC.having(KEY), SILVER_DATABASE)
+    full = write_keyed_table(sales.filter(late), name, SC.having(KEY), SILVER_DATABASE, mode="append")
+    return dedup(s.table(full), SC.having(KEY))
+
+
+def _with_reasons(split: Split) -> DataFrame:
+    return split.rejects.withColumn("reasons", F.array_join("reasons", ","))
+
+
 def q_bronze_to_silver(s: SparkSession, d: str) -> DataFrame:
     customer_src = stage_parquet(bronze_customers(s, d), "bronze-customers-parquet")
     sales_src = stage_csv(bronze_sales(s, d), "bronze-sales-csv")
@@ -244,6 +302,11 @@ QUERIES: dict[str, Query] = {
     "sales_pipeline_observed": lambda s, d: observed_sales_pipeline(bronze_sales(s, d))[0],
     "customer_quality": lambda s, d: customer_quality(bronze_customers(s, d)),
     "sales_quality": lambda s, d: sales_quality(bronze_sales(s, d)),
+    "sales_pipeline_valid_first": lambda s, d: sales_pipeline(bronze_sales(s, d), keep="valid_first"),
+    "sales_quality_valid_first": lambda s, d: sales_quality(bronze_sales(s, d), keep="valid_first"),
+    "customer_rejects": lambda s, d: _with_reasons(split_customers(bronze_customers(s, d))),
+    "sales_rejects": lambda s, d: _with_reasons(split_sales(bronze_sales(s, d))),
+    "sales_split_silver": lambda s, d: split_sales(bronze_sales(s, d)).silver,
     # shared stages
     "conform_customer": _conformed_customers,
     "conform_sales": _conformed_sales,
@@ -282,6 +345,8 @@ QUERIES: dict[str, Query] = {
     "csv_scan_quoted": q_csv_scan_quoted,
     "csv_scan_permissive": q_csv_scan_permissive,
     "csv_scan_no_header": q_csv_scan_no_header,
+    "csv_good_records": q_csv_good_records,
+    "csv_bad_records": q_csv_bad_records,
     "parquet_scan": q_parquet_scan,
     "parquet_scan_schema": q_parquet_scan_schema,
     "parquet_scan_merge_schema": q_parquet_scan_merge_schema,
@@ -294,7 +359,9 @@ QUERIES: dict[str, Query] = {
     "sink_path": q_sink_path,
     "sink_append": q_sink_append,
     "sink_ignore": q_sink_ignore,
+    "sink_partition_overwrite": q_sink_partition_overwrite,
     "sink_table": q_sink_table,
+    "sink_keyed_table": q_sink_keyed_table,
     "bronze_to_silver": q_bronze_to_silver,
     "bronze_to_silver_counters": q_job_counters,
     # test-surface operations

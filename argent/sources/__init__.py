@@ -7,6 +7,7 @@ from argent.sources.scans import (
     read_parquet_validated,
     require_columns,
     require_rows,
+    route_bad_records,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "read_parquet_validated",
     "require_columns",
     "require_rows",
+    "route_bad_records",
 ]

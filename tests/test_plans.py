@@ -36,10 +36,11 @@ def _exchanges(plan: str) -> list[str]:
 
 
 def test_registered_pipelines_have_one_exchange(spark):
-    for key in ("sales_pipeline", "customer_pipeline", "sales_pipeline_observed", "dedup_by_key"):
+    for key in ("sales_pipeline", "sales_pipeline_valid_first", "customer_pipeline", "sales_pipeline_observed", "dedup_by_key"):
         plan = _plan(QUERIES[key](spark, SF_SMALL))
         assert _exchanges(plan) == ["Exchange hashpartitioning"], key
         assert "partial_min" in plan
+    assert _exchanges(_plan(QUERIES["sink_keyed_table"](spark, SF_SMALL))) == []  # dealt out when it was written
     assert _exchanges(_plan(QUERIES["agg_total_quantity"](spark, SF_SMALL))) == ["Exchange SinglePartition"]
     for key in ("sales_quality", "customer_quality"):
         plan = _plan(QUERIES[key](spark, SF_SMALL))
