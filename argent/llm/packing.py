@@ -23,8 +23,6 @@ window but the last is full.
 
 from __future__ import annotations
 
-import functools
-import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -36,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from argent.llm.bpe import END, Codec, _codec, _public
+from argent.llm.bpe import Codec, _codec, _public
 from argent.llm.common import load, staged
 
 WINDOW = 1024
@@ -44,49 +42,12 @@ SEPARATOR = 0  # the id that ends a document
 CYCLE = 256  # windows, fewer if there are many queues
 LEAST = 32  # tokens of a turn, unless the queue or the window ends before
 OUT_ROWS, OUT_BYTES = 20_000, 1 << 25
-PIECE_CHARS = 1 << 20
-WORDS = 200_000  # remembered encodings of a task
 
-_SEGMENT = re.compile(r"\s*\S+|\s+")
-_BORDER = re.compile(r"(?<=\S)(?=\s)")
-_ODD = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
-
-class _Ids(dict):
-    """Segments (white space and what follows up to the next) to their ids."""
-
-    def __init__(self, codec: Codec) -> None:
-        self.codec = codec
-
-    def __missing__(self, segment: str) -> bytes:
-        ids = np.array(self.codec.enc.encode_ordinary(segment), np.uint32).tobytes()
-        if len(segment) <= 32:
-            if len(self) >= WORDS:
-                self.clear()
-            self[segment] = ids
-        return ids
-
-
-@functools.lru_cache(maxsize=2)
-def _ids(vocabulary: str) -> _Ids:
-    return _Ids(_codec(vocabulary))
-
-
-def encode(text: str, known: _Ids, size: int = PIECE_CHARS) -> bytes:
-    """The ids of a whole text as little-endian 32-bit numbers. The
-    pre-tokenizer has no match over the border from visible to white space, so
-    a text is the sequence of its segments."""
-    if END in text or _ODD.search(text):
-        return known.codec.encode(text.encode()).astype("<u4").tobytes()
-    if len(text) <= size:
-        return b"".join(map(known.__getitem__, _SEGMENT.findall(text)))
-    out, at = [], 0
-    while at < len(text):
-        border = _BORDER.search(text, at + size)
-        end = border.start() if border else len(text)
-        out.append(b"".join(map(known.__getitem__, _SEGMENT.findall(text, at, end))))
-        at = end
-    return b"".join(out)
+def encode(text: str, codec: Codec) -> bytes:
+    """The ids of a whole text as little-endian 32-bit numbers, special tokens
+    in it included, as the tokenizers library gives them."""
+    return codec.enc.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 def apportion(weights: list[int], total: int, most: list[int]) -> list[int]:
@@ -214,25 +175,24 @@ def _tokenise(vocabulary: str):
     end = np.array([SEPARATOR], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, task = _ids(vocabulary), TaskContext.get().partitionId()
+        codec, task = _codec(vocabulary), TaskContext.get().partitionId()
         seen: dict = {}  # tokens of each source of this task
         for batch in batches:
-            at, done = 0, []
-            held = 0
-            for t, s in zip(batch.column(1), batch.column(2)):
-                source = s.as_py()
-                ids = encode(t.as_py(), known) + end
-                done.append((seen.get(source, 0), len(ids) // 4, ids))
-                seen[source] = seen.get(source, 0) + len(ids) // 4
+            at, held, done = 0, 0, []
+            sources = batch.column(2).to_pylist()
+            for k, t in enumerate(batch.column(1)):
+                ids = encode(t.as_py(), codec) + end
+                done.append((seen.get(sources[k], 0), len(ids) // 4, ids))
+                seen[sources[k]] = seen.get(sources[k], 0) + len(ids) // 4
                 held += len(ids)
-                if held >= OUT_BYTES or at + len(done) == batch.num_rows:
+                if held >= OUT_BYTES or k + 1 == batch.num_rows:
                     before, n, got = zip(*done)
                     part = batch.slice(at, len(done))
                     yield pa.record_batch(
                         [pa.array([task] * len(done), pa.int32()), part.column(0), part.column(2), pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(got, pa.binary())],
                         ["task", "doc_id", "source", "before", "n", "ids"],
                     )
-                    at, done, held = at + len(done), [], 0
+                    at, held, done = k + 1, 0, []
 
     return run
 
