@@ -17,7 +17,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     in a way that survives lost executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables whose successors stand: what was made from them has
+    been written out itself, so that nothing, lost executors included, asks for
+    them again."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.staged_at)  # noqa: SLF001
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str, null_as: str | None = "") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from argent.llm.common import staged
+from argent.llm.common import release, staged
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -19,7 +19,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         linked = linked.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         linked = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return linked.filter("a <> b").distinct()
+    out = staged(linked.filter("a <> b").distinct(), "components-star")
+    release(least, edges)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,11 +31,16 @@ def components(edges: DataFrame) -> DataFrame:
     now = staged(edges.filter("a <> b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).select("a", "b").distinct(), "components")
     mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     while mark[0]:
-        now = staged(_star(staged(_star(now, True), "components-large"), False), "components")
+        now = _star(_star(now, True), False)
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break
         mark = new
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    out = staged(
+        now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+            now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+        ),
+        "components-named",
     )
+    release(now)
+    return out

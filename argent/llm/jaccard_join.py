@@ -11,11 +11,12 @@ linked sets can have differing shingles. The counts of linked sets then agree
 in a whole block, so equality of one block's counts finds every link; these
 blocks are the index cells. Each cell that holds several sets is searched
 with an R-tree over *coarse* groups: rectangles, then points, whose summed
-minima are too small for the threshold are passed over. Surviving pairs are
-verified on the whole sets.
+minima are too small for the threshold are passed over, and of the points left
+those whose minima over four times as many groups are. Surviving pairs are verified
+on the whole sets.
 
 Links only matter up to components. A first round verifies one link per set, to
-the smallest set of one of its cells. Later rounds look only at pairs of sets
+the smallest set of one of its cells, if their points allow it. Later rounds look only at pairs of sets
 in different components, each component's best survivor of a cell; the last
 round takes all survivors that are left, so no link between components is lost.
 Equal sets are one set throughout, and cells larger than ``CHUNK`` sets are dealt
@@ -35,15 +36,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from argent.llm.common import bitmap, load, staged, texts
+from argent.llm.common import bitmap, load, release, staged, texts
 from argent.llm.components import components
 
 SHINGLE, THRESHOLD = 3, (9, 10)  # the query's contract: 100 * both >= 90 * either
-GROUPS = 64
+GROUPS, COARSE = 256, 64
 LEAF = 16  # points in a rectangle of the R-tree
 CHUNK = 2000
 BEST_ROUNDS = 2
 WANTED_BITS = 23
+SALTS = 8  # tasks for the cells with one smallest set
+TOLD_PAIRS = 250_000  # remembered by a task
 BROADCAST_PAIRS = 100_000
 MEMORY_WORDS = 250_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -130,8 +133,16 @@ class Plan:
 
 
 def counts(h: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """The coarse point of a set."""
-    return np.bincount((h >> np.uint64(44)).astype(np.int64) % groups, minlength=groups).astype(np.int32)
+    """The point of a set, in 16 bits a group, or 32 if one holds more."""
+    n = np.bincount((h >> np.uint64(44)).astype(np.int64) % groups, minlength=groups)
+    return n.astype(np.uint16 if n.max() < 1 << 16 else np.uint32)
+
+
+def points(blobs: list[bytes]) -> np.ndarray:
+    """Stored points, one a row."""
+    if all(len(x) == 2 * GROUPS for x in blobs):
+        return np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, GROUPS).astype(np.int32)
+    return np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * GROUPS else np.uint32).astype(np.int64) for x in blobs])
 
 
 def _set_id(h: np.ndarray) -> int:
@@ -222,33 +233,35 @@ def _verify(plan: Plan):
     return run
 
 
-def survivors(plan: Plan, n: np.ndarray, points: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def survivors(plan: Plan, n: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """R-tree search in one cell: for each left point the right ones whose summed
     minima reach the threshold, and these sums. Leaves pack points of similar
     size and counts; a rectangle is passed over when even its largest
     coordinates are too small for its smallest set."""
-    order = right[np.lexsort((*points[right][:, :4].T, n[right]))]
+    coarse = at.reshape(len(at), COARSE, -1).sum(2)
+    order = right[np.lexsort((*coarse[right][:, :4].T, n[right]))]
     edges = np.arange(0, len(order), LEAF)
-    top = np.maximum.reduceat(points[order], edges)
+    top = np.maximum.reduceat(coarse[order], edges)
     smallest = np.minimum.reduceat(n[order], edges)
     for i in left:
-        open_leaves = plan.enough(np.minimum(top, points[i]).sum(1), n[i], smallest)
+        open_leaves = plan.enough(np.minimum(top, coarse[i]).sum(1), n[i], smallest)
         if not open_leaves.any():
             continue
         inside = order[np.repeat(open_leaves, LEAF)[: len(order)]]
-        bound = np.minimum(points[inside], points[i]).sum(1)
+        inside = inside[plan.enough(np.minimum(coarse[inside], coarse[i]).sum(1), n[i], n[inside])]
+        bound = np.minimum(at[inside], at[i]).sum(1)
         ok = plan.enough(bound, n[i], n[inside])
         yield i, inside[ok], bound[ok]
 
 
-def _pairs_of_cell(plan: Plan, best: bool, sid, comp, n, side, points, same: bool) -> tuple[np.ndarray, np.ndarray]:
+def _pairs_of_cell(plan: Plan, best: bool, sid, comp, n, side, at, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one chunk pair of a cell that survive the bounds and lie in
     different components; with ``best`` only the best of each component."""
     left = np.flatnonzero(side == 0)
     right = left if same else np.flatnonzero(side == 1)
     a, b, score = [], [], []
     if len(left) and len(right):
-        for i, found, bound in survivors(plan, n, points, left, right):
+        for i, found, bound in survivors(plan, n, at, left, right):
             keep = (comp[found] != comp[i]) & ((sid[found] > sid[i]) if same else True)
             a += [i] * int(keep.sum())
             b += found[keep].tolist()
@@ -270,6 +283,7 @@ def _search(plan: Plan, best: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
+        told: set[tuple[int, int]] = set()
         for batch in _with_end(batches):
             if batch is not None:
                 held.append(pa.Table.from_batches([batch]))
@@ -285,17 +299,34 @@ def _search(plan: Plan, best: bool):
             if len(edges) < 2:
                 continue
             sid, comp, n, side = (table.column(c).to_numpy() for c in ("sid", "comp", "n", "side"))
-            points = np.frombuffer(b"".join(table.column("point").slice(0, edges[-1]).to_pylist()), np.int32).reshape(edges[-1], -1)
+            at = points(table.column("point").slice(0, edges[-1]).to_pylist())
             out = [
-                _pairs_of_cell(plan, best, sid[a:z], comp[a:z], n[a:z], side[a:z], points[a:z], keys[1][a] == keys[2][a])
+                _pairs_of_cell(plan, best, sid[a:z], comp[a:z], n[a:z], side[a:z], at[a:z], keys[1][a] == keys[2][a])
                 for a, z in zip(edges, edges[1:])
             ]
-            x, y = (np.concatenate([o[k] for o in out]) for k in (0, 1))
+            # Near copies meet in many cells, which mostly come to one task: once is enough.
+            found = set(zip(*(np.concatenate([o[k] for o in out]).tolist() for k in (0, 1)))) - told
+            told = found | (told if len(told) < TOLD_PAIRS else set())
+            x, y = zip(*found) if found else ((), ())
             yield pa.record_batch([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     return run
 
 
+def _possible(plan: Plan):
+    """Of pairs with the sizes and points of both sets, those that may be links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (points(batch.column(c).to_pylist()) for c in ("x", "y"))
+                n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+                ok = plan.enough(np.minimum(x, y).sum(1), n, m)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
+
+    return run
+
+
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
     yield from batches
     yield None
@@ -310,17 +341,27 @@ def _linked(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     with_a = sets.select(F.col("sid").alias("a"), F.col("items").alias("x")).join(sent, "a")
     with_b = sets.select(F.col("sid").alias("b"), F.col("items").alias("y")).join(sent, "b")
     both = with_a.join(with_b, ["a", "b"]).select("a", "b", "x", "y")
-    return both.mapInArrow(_verify(plan), "a long, b long, linked boolean").distinct()
+    out = staged(both.mapInArrow(_verify(plan), "a long, b long, linked boolean").distinct(), "op6-links")
+    release(pairs)
+    return out
+
 
+def _bounded(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs whose points may be those of linked sets."""
+    with_a = pairs.join(sets.select(F.col("sid").alias("a"), "n", F.col("point").alias("x")), "a")
+    with_b = with_a.join(sets.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("point").alias("y")), "b")
+    return with_b.select("a", "b", "n", "m", "x", "y").mapInArrow(_possible(plan), "a long, b long")
 
-def _still_open(members: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
-    """Cell members with their components, of cells that hold several."""
+
+def _still_open(members: DataFrame, sets: DataFrame, comps: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Cell members with their components, of cells that hold several, and the
+    staged tables that they are read from."""
     comps = comps.select(F.col("node").alias("sid"), "component")
     now = members.join(comps, "sid", "left").select("cell", "sid", F.coalesce("component", "sid").alias("comp"))
-    now = staged(now, "op6-members")
-    cells = now.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size")).filter("x <> y")
-    cells = staged(cells.select("cell", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")), "op6-open")
-    return now.join(cells, "cell").join(sets.select("sid", "n", "point"), "sid")
+    now = staged(now, "op6-open-members")
+    cells = now.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size"), F.min("sid").alias("least")).filter("x <> y")
+    cells = staged(cells.select("cell", "least", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")), "op6-open")
+    return now.join(cells, "cell").join(sets.select("sid", "n", "point"), "sid"), [now, cells]
 
 
 def _chunk_pairs(rows: DataFrame) -> DataFrame:
@@ -330,9 +371,19 @@ def _chunk_pairs(rows: DataFrame) -> DataFrame:
     return rows.select(
         "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "sid", "comp", "n", "point",
+        "least", F.pmod(F.xxhash64("cell"), F.lit(SALTS)).alias("salt"),
     )
 
 
+def _together(rows: DataFrame) -> DataFrame:
+    """The rows of a chunk pair one after the other. Cells with the same smallest
+    set, which mostly hold the same families, come to the same few tasks."""
+    return (
+        _chunk_pairs(rows).repartition("least", "salt", "i", "j")
+        .sortWithinPartitions("least", "cell", "i", "j", "side", "sid").drop("least", "salt")
+    )
+
+
 def _different_cells(members: DataFrame) -> DataFrame:
     """Members of one cell of each distinct membership: near copies share most
     of their cells, and one cell tells as much as its equals. Two independent
@@ -341,8 +392,10 @@ def _different_cells(members: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("size"), F.min("sid").alias("low"), F.max("sid").alias("high"),
         F.bit_xor(F.xxhash64("sid")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("h2"),
     )
-    one = by.groupBy("size", "low", "high", "h1", "h2").agg(F.min("cell").alias("cell")).select("cell")
-    return staged(members.join(staged(one, "op6-distinct"), "cell", "left_semi"), "op6-cell-members")
+    one = staged(by.groupBy("size", "low", "high", "h1", "h2").agg(F.min("cell").alias("cell")).select("cell"), "op6-distinct")
+    out = staged(members.join(one, "cell", "left_semi"), "op6-cell-members")
+    release(one, members)
+    return out
 
 
 def jaccard_components(
@@ -365,10 +418,12 @@ def jaccard_components(
     spark = docs.sparkSession
     base = texts(docs, id_col, text_col).withColumn("body", F.xxhash64("text"))
     id_type = base.schema["doc_id"].dataType.simpleString()
-    rows = staged(base.mapInArrow(_cells(plan, shingle), f"doc_id {id_type}, body long, sid long, n long, cells array<long>"), "op6-cells")
-
-    in_order = rows.select(F.explode("cells").alias("cell"), "sid").repartition("cell").sortWithinPartitions("cell", "sid")
-    members = _different_cells(staged(in_order.mapInArrow(_shared_cells, "cell long, sid long, center long"), "op6-shared"))
+    cells = staged(base.mapInArrow(_cells(plan, shingle), f"doc_id {id_type}, body long, sid long, n long, cells array<long>"), "op6-cells")
+    in_order = cells.select(F.explode("cells").alias("cell"), "sid").repartition("cell").sortWithinPartitions("cell", "sid")
+    shared = staged(in_order.mapInArrow(_shared_cells, "cell long, sid long, center long"), "op6-shared")
+    rows = staged(cells.select("doc_id", "body", "sid", "n"), "op6-rows")
+    release(cells)  # its keys are most of what is staged
+    members = _different_cells(shared)
     # One row of each set that shares a cell is read again for the whole set.
     key = F.xxhash64("doc_id", "body")
     wanted = (
@@ -380,29 +435,35 @@ def jaccard_components(
     sets = staged(sets, "op6-sets")
 
     first = members.filter("sid <> center").groupBy("sid").agg(F.min("center").alias("a")).select("a", F.col("sid").alias("b"))
-    tried = staged(_linked(first, sets, plan), "op6-links")
+    tried = _linked(_bounded(first, sets, plan), sets, plan)
+    done = [tried]
     comps = components(tried.filter("linked").select("a", "b"))
-    cells = members.select("cell", "sid")
     stuck = False
     for best in (*(True,) * BEST_ROUNDS, False):
         if best and stuck:  # the best pairs were tried before: on to all of them
             continue
-        comps = staged(comps, "op6-components")
-        together = _chunk_pairs(_still_open(cells, sets, comps)).repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "side", "sid")
-        pairs = staged(together.mapInArrow(_search(plan, best), "a long, b long").distinct(), "op6-survivors")
+        still, sources = _still_open(members.select("cell", "sid"), sets, comps)
+        pairs = staged(_together(still).mapInArrow(_search(plan, best), "a long, b long").distinct(), "op6-survivors")
+        release(*sources)
         if pairs.isEmpty():
+            release(pairs)
             break
-        new = staged(_linked(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, plan), "op6-links")
+        new = _linked(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), sets, plan)
+        release(pairs)
         stuck = new.isEmpty()
+        done.append(new)
         tried = tried.unionByName(new)
         if not new.filter("linked").isEmpty():
-            comps = components(tried.filter("linked").select("a", "b"))
+            old, comps = comps, components(tried.filter("linked").select("a", "b"))
+            release(old)
+    release(members, sets)
 
     of_set = rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
     named = of_set.join(comps.select(F.col("node").alias("sid"), "component"), "sid", "left")
     named = staged(named.select("sid", "least", F.coalesce("component", "sid").alias("component")), "op6-named")
     smallest = staged(named.groupBy("component").agg(F.min("least").alias("smallest")), "op6-smallest")
     answer = staged(named.join(smallest, "component").select("sid", "component", "smallest"), "op6-answer")
+    release(named, smallest, comps, *done)
     return rows.select("doc_id", "body", "sid", "n").join(answer, "sid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"),
         F.col("component").alias("group_id"), "body",

@@ -32,7 +32,7 @@ def _brute(rows, size=3, num=9, den=10):
     for i, s in enumerate(sets):
         for x in s:
             where.setdefault(x, []).append(i)
-    pairs = {(a, b) for v in where.values() if len(v) < 400 for k, a in enumerate(v) for b in v[k + 1 :]}
+    pairs = {(a, b) for v in where.values() for k, a in enumerate(v) for b in v[k + 1 :]}
     for a, b in pairs:
         both = len(sets[a] & sets[b])
         if den * both >= num * (len(sets[a]) + len(sets[b]) - both):
@@ -95,6 +95,14 @@ def test_no_link_is_missed_by_cells_or_bounds(num):
             assert not plan.enough(both, len(a), len(b))
 
 
+def test_points_of_any_width():
+    sets = [np.arange(n, dtype=np.uint64) << np.uint64(44) + np.uint64(k) for n, k in ((3, 0), (5000, 1), (80_000, 8))]
+    blobs = [counts(h).tobytes() for h in sets]
+    assert len(blobs[0]) < len(blobs[2])  # 80,000 of one group need 32 bits
+    for some in (blobs, blobs[:2], blobs[2:]):
+        assert jaccard_join.points(some).sum(1).tolist() == [len(h) for h, b in zip(sets, blobs) if b in some]
+
+
 def test_shingles_and_components(spark):
     assert len(shingles("a b a b a b", _WordHashes(), 3)) == 2
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 103), (103, 101), (7, 7), (200, 199)]
