@@ -19,7 +19,11 @@ equal strings together:
 
 Only anchors, repeated stretches and the texts that have them are shuffled.
 Buckets grow in number with the input. A passage in very many documents sends
-each bucket one stretch per batch of rows, not one per document.
+each bucket one stretch per piece of rows, not one per document. Rows are
+known to the buckets by their number in the piece; a piece writes the list of
+its rows once, and what the buckets found is brought together by piece and
+given its rows there. Pieces have the same rows in any rerun of a task: those of a
+file's split, or sorted ones.
 """
 
 from __future__ import annotations
@@ -32,8 +36,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from argent.llm.common import load, texts
 
@@ -198,29 +204,45 @@ def _by_document(doc: np.ndarray, body: np.ndarray, *payload: np.ndarray) -> tup
     return doc[a].tolist(), body[a].tolist(), [rows[x:y].tobytes() for x, y in zip(a.tolist(), z.tolist())]
 
 
-def _by_bucket(work, name: str):
-    """applyInArrow of ``work``, which gets the rows of one bucket and returns
-    arrays of doc, body and payload, as one row per document."""
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The pieces of a task, with numbers that no other piece has."""
+    task = TaskContext.get().partitionId() << 32
+    for k, batch in enumerate(_pieces(batches)):
+        yield task + k, batch
+
+
+def _grouped(work, schema: list):
+    """applyInArrow of ``work``, which gets the rows of one group and returns rows."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        doc, body, blob = _by_document(*work(table.to_pylist()))
-        return pa.table({"doc": pa.array(doc, pa.int64()), "body": pa.array(body, pa.int64()), name: pa.array(blob, pa.binary())})
+        return pa.Table.from_pylist(work(table.to_pylist()), schema=pa.schema(schema))
 
     return run
 
 
-_COLLECTED = "bucket int, doc long, body long, hashes binary, of binary, docs binary, bodies binary"
-_COLLECTED_TYPES = [("bucket", pa.int32()), ("doc", pa.int64()), ("body", pa.int64()), *((c, pa.binary()) for c in ("hashes", "of", "docs", "bodies"))]
+def _by_piece(piece: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """The piece and its part of each column, for each piece."""
+    order = np.argsort(piece, kind="stable")
+    for a, z in zip(*_runs(piece[order])):
+        yield int(piece[order[a]]), *(c[order[a:z]] for c in columns)
+
+
+def _ddl(types: list) -> str:
+    return ", ".join(f"{name} {dict(int32='int', int64='long').get(str(kind), str(kind))}" for name, kind in types)
+
+
+_FOUND_TYPES = [("piece", pa.int64()), *((c, pa.binary()) for c in ("hashes", "of", "docs", "bodies"))]
+_COLLECTED_TYPES = [("bucket", pa.int32()), *_FOUND_TYPES]
 
 
 def _collect(buckets: int):
-    """Anchors of a batch by bucket. Those of several rows of the batch are
-    known to repeat: their rows get them at once (rows without ``of``, which
-    any bucket passes on), and the bucket only learns that they exist (text
-    index -1)."""
+    """Anchors of a piece by bucket. Those of several rows of the piece are
+    known to repeat: they go with the list of the piece's rows (a row with
+    ``docs``, which any bucket passes on), and the bucket only learns that they
+    exist (row number -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches):
+        for piece, batch in _numbered(batches):
             datas, docs, bodies = _rows(batch)
             h, of = _anchored(datas)
             order = np.lexsort((of, h))
@@ -230,47 +252,51 @@ def _collect(buckets: int):
             start = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
             group = np.cumsum(start) - 1
             many = np.bincount(group)[group] > 1 if len(h) else np.empty(0, bool)
-            direct = _by_document(docs[of[many]], bodies[of[many]], h[many])
-            out = [{"bucket": b % buckets, "doc": d, "body": b, "hashes": blob} for d, b, blob in zip(*direct)]
+            out = [{
+                "bucket": piece % buckets, "piece": piece, "hashes": _pack(h[many]), "of": _pack(of[many].astype(np.int32)),
+                "docs": _pack(docs), "bodies": _pack(bodies),
+            }]
             of = np.where(many, -1, of)
             h, of = h[start], of[start].astype(np.int32)
             bucket = _bucket(h, buckets)  # grows with h
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else []
-            ids = {"docs": _pack(docs), "bodies": _pack(bodies)}
             for a, z in zip(cut, [*cut[1:], len(h)]):
-                part = h[a:z]
-                out.append({"bucket": int(bucket[a]), "hashes": _pack(np.diff(part, prepend=np.uint64(0))), "of": _pack(of[a:z])} | ids)
+                out.append({"bucket": int(bucket[a]), "piece": piece, "hashes": _pack(np.diff(h[a:z], prepend=np.uint64(0))), "of": _pack(of[a:z])})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(_COLLECTED_TYPES))
 
     return run
 
 
-def _repeated(bucket: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc, body and hash of one bucket's anchors that occur in several rows."""
-    hs, several, docs, bodies = [], [], [], []
-    direct = [r for r in bucket if r["of"] is None]
-    for r in bucket:
-        if r["of"] is not None:
-            of = _unpack(r["of"], np.int32)
-            hs.append(np.cumsum(_unpack(r["hashes"], np.uint64)))
-            several.append(of < 0)
-            docs.append(_unpack(r["docs"], np.int64)[of])  # any for -1
-            bodies.append(_unpack(r["bodies"], np.int64)[of])
-    known = [np.frombuffer(r["hashes"], np.uint64) for r in direct]
-    at = np.repeat(np.arange(len(known)), [len(k) for k in known])
-    out = [np.array([r[c] for r in direct], np.int64)[at] for c in ("doc", "body")] + [np.concatenate([*known, np.empty(0, np.uint64)])]
-    if not hs:
-        return tuple(out)
-    h, several, doc, body = (np.concatenate(x) for x in (hs, several, docs, bodies))
+def _passed_on(bucket: list[dict]) -> list[dict]:
+    """The lists of rows, of pieces that any bucket may have got."""
+    return [{k: v for k, v in r.items() if k != "bucket"} for r in bucket if r["docs"] is not None and r["bodies"] is not None]
+
+
+def _repeated(bucket: list[dict]) -> list[dict]:
+    """Of one bucket's anchors those that occur in several rows, by piece."""
+    parts = [(np.cumsum(_unpack(r["hashes"], np.uint64)), _unpack(r["of"], np.int32), r["piece"]) for r in bucket if r["docs"] is None]
+    out = _passed_on(bucket)
+    if not parts:
+        return out
+    h, of = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    piece = np.repeat([p[2] for p in parts], [len(p[0]) for p in parts])
     order = np.argsort(h, kind="stable")
     a, z = _runs(h[order])
-    more = np.repeat(z - a > 1, z - a) & ~several[order]
-    found = order[more]
-    return tuple(np.concatenate(x) for x in zip(out, (doc[found], body[found], h[found])))
+    found = order[np.repeat(z - a > 1, z - a) & (of[order] >= 0)]
+    return out + [{"piece": p, "hashes": _pack(x), "of": _pack(y)} for p, x, y in _by_piece(piece[found], h[found], of[found])]
+
+
+def _anchors_of_rows(piece: list[dict]) -> list[dict]:
+    """doc, body and repeated anchors of a piece's rows."""
+    (ids,) = [r for r in piece if r["docs"] is not None]
+    docs, bodies = _unpack(ids["docs"], np.int64), _unpack(ids["bodies"], np.int64)
+    of = np.concatenate([_unpack(r["of"], np.int32) for r in piece])
+    h = np.concatenate([_unpack(r["hashes"], np.uint64) for r in piece])
+    return [{"doc": d, "body": b, "hashes": blob} for d, b, blob in zip(*_by_document(docs[of], bodies[of], h))]
 
 
-_STRETCHES = "bucket int, doc long, body long, spans binary, stretches binary, lengths binary, hashes binary, starts binary, docs binary, bodies binary"
-_STRETCH_TYPES = [("bucket", pa.int32()), ("doc", pa.int64()), ("body", pa.int64()), *((c.split()[0], pa.binary()) for c in _STRETCHES.split(", ")[3:])]
+_SPAN_TYPES = [("piece", pa.int64()), *((c, pa.binary()) for c in ("of", "spans", "docs", "bodies"))]
+_STRETCH_TYPES = [("bucket", pa.int32()), *_SPAN_TYPES, *((c, pa.binary()) for c in ("stretches", "lengths", "hashes", "starts"))]
 
 
 def _collapse(h: np.ndarray, lengths: np.ndarray, keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -303,27 +329,31 @@ def _keys(stretches: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, stretches)), np.uint64).reshape(-1, 2)
 
 
+def _spans(of: np.ndarray, first: np.ndarray, last: np.ndarray) -> dict:
+    return {"of": _pack(of.astype(np.int32)), "spans": _pack(np.concatenate([first, last]).astype(np.int64))}
+
+
 def _stretch(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _pieces(batches):
+        for piece, batch in _numbered(batches):
             datas, docs, bodies = _rows(batch)
             known = [np.frombuffer(b"".join(blobs.as_py()), np.uint64) for blobs in batch.column(3)]
             h, of, first, last = _anchored(datas, known)
             texts_ = [datas[i][a : z + MIN_BYTES] for i, a, z in zip(of.tolist(), first.tolist(), last.tolist())]
             lengths = last - first + 1
             one, gone = _collapse(h, lengths, _keys(texts_), docs[of])
-            d, b, *span = _merged(docs[of[gone]], bodies[of[gone]], first[gone], last[gone])
+            _, row, *span = _merged(np.zeros(len(gone), np.int64), of[gone].astype(np.int64), first[gone], last[gone])
             # Any bucket passes these on.
-            out = [{"bucket": y % buckets, "doc": x, "body": y, "spans": blob} for x, y, blob in zip(*_by_document(d, b, *span))]
+            out = [{"bucket": piece % buckets, "piece": piece, "docs": _pack(docs), "bodies": _pack(bodies)} | _spans(row, *span)]
             one = one[np.argsort(h[one], kind="stable")]
             bucket = _bucket(h[one], buckets)
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(one) else []
             for a, z in zip(cut, [*cut[1:], len(one)]):
                 k = one[a:z]
                 out.append({
-                    "bucket": int(bucket[a]), "stretches": zstandard.compress(b"".join(texts_[i] for i in k.tolist()), 1),
+                    "bucket": int(bucket[a]), "piece": piece, "stretches": zstandard.compress(b"".join(texts_[i] for i in k.tolist()), 1),
                     "lengths": _pack(lengths[k].astype(np.uint8)), "hashes": _pack(h[k]), "starts": _pack(first[k].astype(np.int64)),
-                    "docs": _pack(docs[of[k]]), "bodies": _pack(bodies[of[k]]),
+                    "docs": _pack(docs[of[k]]), "of": _pack(of[k].astype(np.int32)),
                 })
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(_STRETCH_TYPES))
 
@@ -391,25 +421,21 @@ def _slices(groups: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
         start = stop
 
 
-def _factors(bucket: list[dict]) -> tuple[np.ndarray, ...]:
-    """doc, body, first and last start of the removed windows of one bucket."""
-    direct = [r for r in bucket if r["spans"] is not None]
-    pairs = [np.frombuffer(r["spans"], np.int64).reshape(-1, 2) for r in direct]
-    at = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
-    pairs = np.concatenate([*pairs, np.empty((0, 2), np.int64)])
-    told = (*(np.array([r[c] for r in direct], np.int64)[at] for c in ("doc", "body")), pairs[:, 0], pairs[:, 1])
-    parts = []
+def _factors(bucket: list[dict]) -> list[dict]:
+    """First and last starts of the removed windows of one bucket, by piece."""
+    told, parts = [{c: r[c] for c, _ in _SPAN_TYPES} for r in _passed_on(bucket)], []
     for r in bucket:
-        if r["spans"] is None:
+        if r["bodies"] is None:
             data = zstandard.decompress(r["stretches"])
             lengths = _unpack(r["lengths"], np.uint8).astype(np.int64)
             ends = np.cumsum(lengths + MIN_BYTES - 1)
             texts_ = [data[e - n : e] for e, n in zip(ends.tolist(), (lengths + MIN_BYTES - 1).tolist())]
-            parts.append((texts_, lengths, *(_unpack(r[c], t) for c, t in (("hashes", np.uint64), ("starts", np.int64), ("docs", np.int64), ("bodies", np.int64)))))
+            packed = (_unpack(r[c], t) for c, t in (("hashes", np.uint64), ("starts", np.int64), ("docs", np.int64), ("of", np.int32)))
+            parts.append((texts_, lengths, *packed, np.full(len(lengths), r["piece"])))
     if not parts:
         return told
     texts_ = [t for p in parts for t in p[0]]
-    lengths, h, starts, docs, bodies = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
+    lengths, h, starts, docs, of, pieces = (np.concatenate([p[k] for p in parts]) for k in range(1, 7))
     del parts
     one, gone = _collapse(h, lengths, _keys(texts_), docs)
     who, at, to = [gone], [starts[gone]], [starts[gone] + lengths[gone] - 1]
@@ -423,17 +449,27 @@ def _factors(bucket: list[dict]) -> tuple[np.ndarray, ...]:
         some = one[part]
         size, n = lengths[some] + MIN_BYTES - 1, lengths[some]
         data = np.frombuffer(b"".join(texts_[i] for i in some.tolist()), np.uint8)
-        of = np.repeat(np.arange(len(some)), n)
-        inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        order, lcp = suffix_array(data, (np.cumsum(size) - size)[of] + inner)
-        removed = order[previous_factor(docs[some][of][order], lcp) >= MIN_BYTES]
-        which = some[of[removed]]
+        inside = np.repeat(np.arange(len(some)), n)
+        inner = np.arange(len(inside)) - np.repeat(np.cumsum(n) - n, n)
+        order, lcp = suffix_array(data, (np.cumsum(size) - size)[inside] + inner)
+        removed = order[previous_factor(docs[some][inside][order], lcp) >= MIN_BYTES]
+        which = some[inside[removed]]
         who.append(which)
         at.append(starts[which] + inner[removed])
         to.append(at[-1])
     who, at, to = (np.concatenate(x) for x in (who, at, to))
-    found = _merged(docs[who], bodies[who], at, to)
-    return tuple(np.concatenate(x) for x in zip(told, found))
+    piece, *found = _merged(pieces[who], of[who].astype(np.int64), at, to)
+    return told + [{"piece": p} | _spans(*columns) for p, *columns in _by_piece(piece, *found)]
+
+
+def _spans_of_rows(piece: list[dict]) -> list[dict]:
+    """doc, body and removed windows of a piece's rows, a row for each document."""
+    (ids,) = [r for r in piece if r["docs"] is not None]
+    docs, bodies = _unpack(ids["docs"], np.int64), _unpack(ids["bodies"], np.int64)
+    of = np.concatenate([_unpack(r["of"], np.int32) for r in piece])
+    first, last = np.concatenate([_unpack(r["spans"], np.int64).reshape(2, -1) for r in piece], axis=1)
+    doc, body, *span = _merged(docs[of], bodies[of], first, last)
+    return [{"doc": d, "body": b, "spans": blob} for d, b, blob in zip(*_by_document(doc, body, *span))]
 
 
 def covered(spans: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -470,11 +506,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     that stay (binary, since a cut may fall inside a character), or with
     ``output="digest"`` their SHA-256.
 
-    doc_id must be an integer. Null texts are empty. A null doc_id comes after
+    doc_id must be an integer (anything else raises). Null texts are empty. A null doc_id comes after
     all others. Rows of the same doc_id, repeated ones too, do not remove from
-    each other. An empty table gives an empty result.
+    each other. A very long text is one piece: a task holds some eight arrays of its
+    length while it is hashed. An empty table gives an empty result.
     """
     base = texts(docs, id_col, text_col)
+    if not isinstance(base.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer, not {base.schema['doc_id'].dataType.simpleString()}")
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NULL_ORDER)))
     base = base.select("text", "doc_id", order.alias("doc"), F.xxhash64("text").alias("body"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -482,15 +521,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # One plan: the texts are dealt by document once and joined twice.
     rows = base.select("text", "doc_id", "doc", "body")
+    of_row = lambda name: [("doc", pa.int64()), ("body", pa.int64()), (name, pa.binary())]
     lists = (
-        base.filter(F.octet_length("text") >= MIN_BYTES).select("text", "doc", "body").mapInArrow(_collect(buckets), _COLLECTED)
-        .groupBy("bucket").applyInArrow(_by_bucket(_repeated, "hashes"), "doc long, body long, hashes binary")
+        base.filter(F.octet_length("text") >= MIN_BYTES).select("text", "doc", "body").mapInArrow(_collect(buckets), _ddl(_COLLECTED_TYPES))
+        .groupBy("bucket").applyInArrow(_grouped(_repeated, _FOUND_TYPES), _ddl(_FOUND_TYPES))
+        .groupBy("piece").applyInArrow(_grouped(_anchors_of_rows, of_row("hashes")), _ddl(of_row("hashes")))
         .groupBy(F.col("doc").alias("d"), F.col("body").alias("b")).agg(F.collect_list("hashes").alias("hashes"))  # of one text
     )
+    repeated = rows.join(lists, (rows["doc"] == lists["d"]) & (rows["body"] == lists["b"])).select("text", "doc", "body", "hashes", "doc_id")
     windows = (
-        rows.join(lists, (rows["doc"] == lists["d"]) & (rows["body"] == lists["b"]))
-        .select("text", "doc", "body", "hashes", "doc_id").mapInArrow(_stretch(buckets), _STRETCHES)
-        .groupBy("bucket").applyInArrow(_by_bucket(_factors, "spans"), "doc long, body long, spans binary")
+        repeated.sortWithinPartitions("doc", "body").mapInArrow(_stretch(buckets), _ddl(_STRETCH_TYPES))
+        .groupBy("bucket").applyInArrow(_grouped(_factors, _SPAN_TYPES), _ddl(_SPAN_TYPES))
+        .groupBy("piece").applyInArrow(_grouped(_spans_of_rows, of_row("spans")), _ddl(of_row("spans")))
         .groupBy(F.col("doc").alias("d"), F.col("body").alias("b")).agg(F.collect_list("spans").alias("spans"))  # of one text
     )
     joined = rows.join(windows, (rows["doc"] == windows["d"]) & (rows["body"] == windows["b"]), "left").select("text", "doc_id", "spans")

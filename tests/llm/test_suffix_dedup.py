@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from argent.llm import suffix_dedup
 from argent.llm.suffix_dedup import MIN_BYTES, anchors, op9_suffix_dedup, previous_factor, remove_repeats, suffix_array
@@ -103,3 +104,28 @@ def test_spread_keeps_hashes_apart():
     h = np.arange(1, 400_001, 2, dtype=np.uint64) * np.uint64(1_000_003) & suffix_dedup._HASH
     h = np.unique(h | np.uint64(1))
     assert len(np.unique(suffix_dedup._spread(h))) == len(h) and (suffix_dedup._spread(h) < 1 << 48).all()
+
+
+def test_collected_bytes_hardly_grow_with_the_buckets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").selectExpr("text", "doc_id AS doc", "xxhash64(text) AS body").coalesce(2)
+
+    def size(buckets):
+        rows = docs.mapInArrow(suffix_dedup._collect(buckets), suffix_dedup._ddl(suffix_dedup._COLLECTED_TYPES))
+        return rows.selectExpr("sum(length(hashes) + length(of) + coalesce(length(docs) + length(bodies), 0)) AS n").first().n
+
+    assert size(3000) < 2 * size(51)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(300))
+    body = rng.randbytes(4_000_000).hex()  # 8 MB
+    rows = [(1, passage), (2, body[:5_000_000] + passage + body[5_000_000:]), (3, body[100:400]), (4, "x")]
+    got = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2].n_bytes == 8_000_300 and got[2].n_removed == 300 and got[2].n_spans == 1 and bytes(got[2].kept).decode() == body
+    assert got[3].n_removed == 300 and got[1].n_removed == 0 == got[4].n_removed
+
+
+def test_only_integers_are_documents(spark):
+    with pytest.raises(TypeError, match="must be an integer"):
+        remove_repeats(spark.createDataFrame([("a", "text")], "doc_id string, text string"))
