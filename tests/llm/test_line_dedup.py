@@ -2,22 +2,27 @@ import random
 
 import pytest
 
-from argent.llm.line_dedup import line_dedup
+from argent.llm.line_dedup import _places, line_dedup
 
+SF = "/root/testdata/sf0.01"
 
-def _brute(rows, window):
-    """(doc_id, text) -> (kept text, removed line numbers); rows in order."""
+
+def _brute(rows, window, long_words=50):
+    """(doc_id, text) -> (kept text, removed line numbers); rows in order. A run
+    is ``window`` lines, or one of more than ``long_words`` words."""
     units = {}
     order = sorted({(r[0] is not None, r[0] or 0, r[1]) for r in rows if r[1] is not None}, key=lambda k: k[:2])
     for k in order:
         units[k] = [(n, x.strip(" \t\r")) for n, x in enumerate(k[2].split("\n")) if x.strip(" \t\r")]
     seen, gone = set(), {k: set() for k in order}
     for k in order:
-        for s in range(len(units[k]) - window + 1):
-            content = tuple(x for _, x in units[k][s : s + window])
-            if content in seen:
-                gone[k] |= {n for n, _ in units[k][s : s + window]}
-            seen.add(content)
+        for s, (_, x) in enumerate(units[k]):
+            for width in {window, 1} if len(x.split()) > long_words else {window}:
+                content = tuple(x for _, x in units[k][s : s + width])
+                if len(content) == width:
+                    if content in seen:
+                        gone[k] |= {n for n, _ in units[k][s : s + width]}
+                    seen.add(content)
     out = []
     for i, t, *_ in rows:
         g = gone.get((i is not None, i or 0, t), set())
@@ -51,29 +56,40 @@ def test_plan_is_native(spark):
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "Cartesian"))
 
 
-def _brute_long(rows, long_words):
-    """Two lines or more, or one of more than ``long_words`` words; ids in order."""
-    seen, out = set(), {}
-    for i, t in sorted(rows):
-        units = [(n, x.strip(" \t\r")) for n, x in enumerate(t.split("\n")) if x.strip(" \t\r")]
-        gone = set()
-        for s, (_, x) in enumerate(units):
-            for width in (1, 2):
-                content = tuple(y for _, y in units[s : s + width])
-                if len(content) < width or width == 1 and len(x.split()) <= long_words:
-                    continue
-                if content in seen:
-                    gone |= {n for n, _ in units[s : s + width]}
-                seen.add(content)
-        out[i] = sorted(gone)
-    return out
-
-
 def test_a_long_line_is_a_run(spark):
     rng = random.Random(7)
     lines = [" ".join(f"w{k}-{j}" for j in range(n)) for k, n in enumerate((1, 2, 5, 6, 7, 60))] + ["", " a  b\tc d e\t", " a  b\tc d e f "]
     rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 7)))) for i in range(60)]
     rows += [(100 + i, f"own {i}\n{lines[5]}\nelse {i}") for i in range(3)] + [(200 + i, f"own {i}\n{lines[2]}\nother {i}") for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r.doc_id: list(r.removed) for r in line_dedup(df, long_words=5).collect()}
-    assert got == _brute_long(rows, 5) and got[102] == [1] and got[202] == []
+    for words in (5, 50):
+        got = sorted(((r.doc_id, r.text, list(r.removed)) for r in line_dedup(df, long_words=words).collect()), key=str)
+        assert got == _brute(rows, 2, words)
+        removed = {i: g for i, _, g in got}
+        assert removed[102] == [1] and removed[202] == []
+
+
+def test_no_repeated_long_line_stays(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    kept = line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    lines = [x.strip(" \t\r") for r in kept for x in (r.text or "").split("\n")]
+    long = [x for x in lines if len(x.split()) > 50]
+    assert len(long) == len(set(long)) > 0
+
+
+def test_only_selected_places_are_written(spark):
+    rng = random.Random(3)
+    rows = [(i, "\n".join(f"{rng.random()}" for _ in range(200))) for i in range(20)]
+    units = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "1L AS body", "split(text, '\n') AS units", "transform(split(text, '\n'), x -> xxhash64(x)) AS hashes", "200 AS n")
+    for window, most in ((2, 0.7), (5, 0.4), (9, 0.25)):  # 2 / (window + 1) of the lines
+        places = _places(units, window, 50)
+        assert places.count() < most * 4000
+        assert places.selectExpr("sum(length(windows)) / 18 AS n").first().n == 20 * (201 - window)  # and no window is lost
+
+
+def test_a_very_long_text(spark):
+    body = "\n".join(f"line {k}" for k in range(60_000))
+    df = spark.createDataFrame([(1, "line 3\nline 4"), (2, body)], "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup(df).collect()}
+    assert got[2].n_lines == 60_000 and list(got[2].removed) == [3, 4] and got[1].n_removed == 0

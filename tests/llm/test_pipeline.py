@@ -56,8 +56,12 @@ def test_awkward_rows(spark):
     rows = [(1, None, "en", None, None, "r", 1), (2, "", None, "s", 0, "r", 1), (None, "a b c d e f", "x", "s", 3, None, None), (3, "a b c d e f", "x", "s", 11, "r", 2)]
     rows += [rows[3], (3, "another text\nanother text\nanother text", "y", "s", 1, "q", 0), (4, "w " * 60_000, "y", "s", 1, "q", 0)]
     docs = spark.createDataFrame(rows, schema)
-    now = docs
-    for name, stage in P.STAGES[1:]:  # toxicity learns from sf_dir's labels
+    # Toxicity learns from sf_dir's labels and the documents there.
+    model = query_model(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    now = P.staged(P.drop_toxic(docs, model), "test-awkward")
+    assert sorted(map(repr, now.collect())) == sorted(map(repr, docs.collect()))  # none is toxic
+    assert P.toxicity(spark, docs, SF).columns == docs.columns
+    for name, stage in P.STAGES[1:]:
         now = P.staged(stage(spark, now, SF), "test-awkward")
         if name == "n-gram Jaccard join":
             assert sorted((r.doc_id or 0, r.text or "") for r in now.collect())[:4] == [(1, ""), (2, ""), (3, "a b c d e f"), (3, "another text")]
