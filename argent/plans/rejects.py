@@ -6,17 +6,24 @@ rejects grouped by reason give the quality report. A row that a rule repairs
 rejects as it came; a row that the dedup or the filter removes is among the
 rejects alone.
 
-The source is scanned once: its rows go to the shared folder as they came and as
-cleaned, with the flags and a row number. The kept row of each key is an
-aggregate that carries the row number, so rows of a hot key combine before the
-shuffle, and what was kept is joined back by row number, which no two rows share.
+The source is scanned once: its rows go to the shared folder as they came, with a
+row number, and are cleaned again whenever they are read. Silver is the aggregate
+of the pipeline. For the rejects every row crosses one shuffle, by its key and as it
+came; beyond it the rows are cleaned and those of a key numbered, so nothing has to
+be joined back. A key with more than ``HOT_ROWS`` rows would be a long task there:
+its kept row is found by an aggregate, whose rows combine before the shuffle, its
+row number is broadcast, and the key's rows are dealt out by their row numbers.
+Only hashes of keys are counted to find such keys, and there are at most
+rows / ``HOT_ROWS`` of them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from argent.errors import ProcessingError
@@ -29,7 +36,10 @@ from argent.plans.staging import stage_parquet
 from argent.schemas import KEY, CustomerColumns, Entity, SalesColumns
 
 DUPLICATE, REASONS = "duplicates_removed", "reasons"
+HOT_ROWS = 50_000
 _RAW, _ROW, _OK, _KEPT_ROW = "__argent_raw", "__argent_row", "__argent_ok", "__argent_kept_row"
+_KEY, _HOT_KEY, _HASH, _N = "__argent_key", "__argent_hot_key", "__argent_hash", "__argent_n"
+_SPREAD, _KEPT, _NTH = "__argent_spread", "__argent_kept", "__argent_nth"
 
 
 @dataclass(frozen=True)
@@ -41,27 +51,56 @@ class Split:
     rejects: DataFrame
 
 
+def _hot(keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key more than ``HOT_ROWS`` rows have (or keys of one hash)."""
+    hashed = keyed.withColumn(_HASH, F.xxhash64(*map(col, keys)))
+    many = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > HOT_ROWS).select(_HASH)
+    path = stage_parquet(many, "hot-keys")
+    many = keyed.sparkSession.read.schema(many.schema).parquet(path)
+    return hashed.join(F.broadcast(many), _HASH, "left_semi").drop(_HASH)
+
+
 def _split(df: DataFrame, c: Entity, flagged, counters: tuple[str, ...], valid: Column, first: Column | None, invalid_name: str) -> Split:
-    names = [f.name for f in c.schema().fields]
+    names, keys = [f.name for f in c.schema().fields], c.having(KEY)
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ProcessingError(f"Missing columns for schema: {', '.join(sorted(missing))}. Found columns: {', '.join(df.columns)}")
-    df = df.select(*map(col, names), F.struct(*map(col, names)).alias(_RAW))
-    rows = flagged(df, [_RAW]).withColumn(_ROW, F.monotonically_increasing_id())
-    found = F.array_compact(F.array(*(F.when(F.col(flag(k)), F.lit(k)) for k in counters)))
-    rows = rows.select(*map(col, names), _RAW, _ROW, found.alias(REASONS))
-    path = stage_parquet(rows, "judged")
-    rows = df.sparkSession.read.schema(rows.schema).parquet(path)
 
-    # Equal cleaned rows are told apart by how they came, then by number.
-    kept = first_of_each(rows.drop(REASONS), c.having(KEY), first)
+    def cleaned(came: DataFrame, *also: str) -> DataFrame:
+        return flagged(came.select(f"{_RAW}.*", _RAW, *also), [_RAW, *also])
+
+    came = df.select(*map(col, names), F.monotonically_increasing_id().alias(_ROW))
+    path = stage_parquet(came, "came")
+    came = df.sparkSession.read.schema(came.schema).parquet(path).select(F.struct(*map(col, names)).alias(_RAW), _ROW)
     ok = F.coalesce(valid, F.lit(False))
-    judged = kept.select(F.col(_ROW).alias(_KEPT_ROW), ok.alias(_OK))
-    removed = F.when(F.col(_OK).isNull(), F.array(F.lit(DUPLICATE))).when(~F.col(_OK), F.array(F.lit(invalid_name)))
-    reasons = F.concat(F.col(REASONS), F.coalesce(removed, F.array().cast("array<string>")))
-    rejects = rows.select(_RAW, _ROW, REASONS).join(judged, F.col(_ROW) == F.col(_KEPT_ROW), "left")
-    rejects = rejects.select(_RAW, reasons.alias(REASONS)).filter(F.size(REASONS) > 0)
-    return Split(kept.filter(ok).select(*map(col, names)), rejects.select(f"{_RAW}.*", REASONS))
+    silver = first_of_each(cleaned(came).select(*map(col, names)), keys, first).filter(ok)
+
+    # Equal cleaned rows are told apart by how they came, then by number.
+    keyed = cleaned(came, _ROW).select(*map(col, keys), _RAW, _ROW)
+    hot = first_of_each(cleaned(_hot(keyed, keys), _ROW).select(*map(col, names), _RAW, _ROW), keys, first)
+    hot = hot.select(*(col(k).alias(f"{_HOT_KEY}{i}") for i, k in enumerate(keys)), F.col(_ROW).alias(_KEPT_ROW))
+
+    # Rows as they came, dealt out by key, those of a hot key by row number.
+    same_key = reduce(and_, (col(k).eqNullSafe(F.col(f"{_HOT_KEY}{i}")) for i, k in enumerate(keys)))
+    judged = F.col(_KEPT_ROW).isNotNull()
+    by = [*(f"{_KEY}{i}" for i in range(len(keys))), _SPREAD]
+    dealt = keyed.join(F.broadcast(hot), same_key, "left").select(
+        *(col(k).alias(b) for k, b in zip(keys, by)),
+        F.when(judged, F.col(_ROW)).alias(_SPREAD),
+        F.when(judged, F.col(_ROW) == F.col(_KEPT_ROW)).alias(_KEPT),
+        _RAW,
+    ).repartition(*by)
+
+    rows = cleaned(dealt, *by, _KEPT).withColumn(_OK, ok)
+    later = [] if first is None else [F.coalesce(~first, F.lit(True))]
+    order = Window.partitionBy(*by).orderBy(*later, *(col(n) for n in names if n not in keys), _RAW)
+    rows = rows.withColumn(_NTH, F.row_number().over(order))
+    found = F.array_compact(F.array(*(F.when(F.col(flag(k)), F.lit(k)) for k in counters)))
+    kept = F.coalesce(F.col(_KEPT), F.col(_NTH) == 1)
+    removed = F.when(~kept, F.array(F.lit(DUPLICATE))).when(~F.col(_OK), F.array(F.lit(invalid_name)))
+    reasons = F.concat(found, F.coalesce(removed, F.array().cast("array<string>")))
+    rejects = rows.select(_RAW, reasons.alias(REASONS)).filter(F.size(REASONS) > 0)
+    return Split(silver, rejects.select(f"{_RAW}.*", REASONS))
 
 
 def split_customers(df: DataFrame, columns: Entity | None = None) -> Split:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from argent.errors import ProcessingError
 from argent.operators.stages import dedup
+from argent.plans import rejects
 from argent.plans.bronze import bronze_customers, bronze_sales
 from argent.plans.pipelines import customer_pipeline, sales_pipeline
 from argent.plans.quality import customer_quality, observed_sales_pipeline, sales_quality
@@ -69,6 +70,50 @@ def test_split_of_a_hot_key_and_clashing_columns(spark):
         split_customers(rows.drop("age"))
 
 
+def test_rejects_cross_one_shuffle_as_they_came(spark):
+    """No row is written or shuffled cleaned and as it came, none is joined back
+    by row number, even where Spark broadcasts nothing on its own."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = split_sales(bronze_sales(spark, SF_SMALL)).rejects
+        plan = _plan(found)
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert plan.count("REPARTITION_BY_COL") == 1 and "Window" in plan
+        files = [f for f in found.inputFiles() if "/came-" in f]
+        staged = spark.read.parquet(*files)
+        assert staged.columns == [*found.columns[:-1], "__argent_row"] and {t for _, t in staged.dtypes[:-1]} == {"string"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("keep", ["first", "valid_first"])
+def test_hot_keys_have_the_same_rejects(spark, keep, monkeypatch):
+    """Keys above and below the bound: null, blank, one that many rows have, all
+    with equal rows and with rows that differ only as they came."""
+    i = F.col("id")
+    df = spark.range(0, 1200, numPartitions=5).select(
+        F.when(i % 4 == 0, F.lit(" hot")).when(i % 4 == 1, F.lit(None)).when(i % 12 == 2, F.lit(" ")).otherwise(F.concat(F.lit("I"), (i % 70).cast("string"))).alias("invoice_no"),
+        F.when(i % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("C"), (i % 3).cast("string"))).alias("customer_id"),
+        F.when(i % 2 == 0, F.lit("Books")).otherwise(F.lit(" books ")).alias("category"),
+        F.lit("1").alias("quantity"), F.when(i % 7 == 0, F.lit("-1")).otherwise(F.lit("2")).alias("price"),
+        F.lit("01-01-2022").alias("invoice_date"), F.lit("Mall").alias("shopping_mall"),
+    )
+    plain, silver = split_sales(df, keep=keep).rejects, sales_pipeline(df, keep=keep)
+    monkeypatch.setattr(rejects, "HOT_ROWS", 60)
+    split = split_sales(df, keep=keep)
+    report = sales_quality(df, keep=keep).first().asDict()
+    assert report["duplicates_removed"] > 1000
+    assert _by_reason(split.rejects) == {k: v for k, v in report.items() if v and not k.startswith("rows_")}
+    assert _same(split.rejects, plain) and _same(split.silver, silver)
+    tasks = split.rejects.filter(F.trim("invoice_no") == "hot").select(F.spark_partition_id()).distinct()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert tasks.count() > 1  # a hot key is no task of its own
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_valid_rows_come_first(spark, ansi):
     rows = [("I1", "", "1"), ("I1", "C9", "2"), ("I1", "C8", "3"), ("I2", None, "4"), (None, "C1", "5")]
     df = spark.createDataFrame(
